@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlens.plans.rebuild import BaseTables, Options, processed_tables
+from ticketlens.schemas import LANDED_ORDER_JSON
 from ticketlens.sources.tables import load_table
 
 AS_OF = "1998-06-30"
@@ -137,15 +138,74 @@ class TestTables:
             "cast(n_nationkey AS string) AS venue_id", "cast(n_nationkey + 1 AS string) AS connection"
         )
 
-    def crm_customers(self) -> DataFrame:
-        """CRM ids of every third customer, at every connection."""
-        return self.crm_ids().join(self.connections().select("connection")).selectExpr(
-            "connection", "email", "crm_id AS crm_customer_id"
+    def crm_customers(self, lines: DataFrame) -> DataFrame:
+        """CRM ids the connections gave to every third customer of these order lines."""
+        placed = lines.join(self.connections(), "venue_id").where("cast(customerid AS bigint) % 3 = 0")
+        return placed.select("connection", "email", "customerid").distinct().selectExpr(
+            "connection",
+            "email",
+            "cast(cast(connection AS bigint) * 1000000 + cast(customerid AS bigint) AS string)"
+            " AS crm_customer_id",
         )
 
-    def crm_ids(self) -> DataFrame:
-        return self.raw("customer").where("c_custkey % 3 = 0").selectExpr(
-            "concat('c', c_custkey, '@example.com') AS email", "cast(c_custkey + 500 AS string) AS crm_id"
+    def order_json(self) -> DataFrame:
+        """Order documents as JSON text, one sighting per line item."""
+        lines = self.raw("lineitem").join(
+            self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+        )
+        bad = "o_orderkey % 17 = 0 AND l_linenumber = 1"
+        return lines.selectExpr(
+            f"""to_json(named_struct(
+                'venue_id', cast(l_partkey % 25 AS string),
+                'show_id', cast(l_partkey AS string),
+                'id', o_orderkey,
+                'order_number', cast(o_orderkey AS string),
+                'purchase_at', concat(translate(cast(o_orderdate AS string), ' ', 'T'), '.000-05:00'),
+                'booking_type', o_orderstatus,
+                'customer', named_struct(
+                    'id', o_custkey,
+                    'email', concat(' C', o_custkey, '@Example.com\r'),
+                    'name', concat(' "Customer" ', o_custkey, " O'Neil\t"),
+                    'first_name', 'Customer',
+                    'phone', lpad(cast(o_custkey AS string), 9, '0'),
+                    'new_customer', o_orderkey % 10 = 0),
+                'payments', CASE WHEN o_orderkey % 13 = 0
+                    THEN cast(array() AS array<struct<payment_method:string>>)
+                    ELSE array(named_struct('payment_method', o_orderpriority)) END,
+                'addons', CASE WHEN o_orderkey % 5 = 0
+                    THEN array(named_struct('name', 'parking'), named_struct('name', 'drink'))
+                    ELSE cast(array() AS array<struct<name:string>>) END,
+                'tickets', map(concat('Tier ', l_returnflag), array(named_struct(
+                    'id', l_linenumber,
+                    'price', CASE WHEN {bad} THEN 'n/a'
+                        ELSE cast(cast(round(l_extendedprice * 100) AS bigint) AS string) END,
+                    'printed', l_linestatus = 'F',
+                    'promo_code_id', CASE WHEN l_returnflag = 'R' THEN 'P1' END,
+                    'checked_in', l_returnflag = 'A')))
+            )) AS value"""
+        )
+
+    def order_sightings(self) -> DataFrame:
+        return self.order_json().select(F.from_json("value", LANDED_ORDER_JSON).alias("doc")).select("doc.*")
+
+    def catalog_json(self) -> DataFrame:
+        """Catalogue documents, one event and show each."""
+        events = self.events().withColumnRenamed("id", "event_id")
+        return self.shows().join(events, "event_id").selectExpr(
+            """to_json(named_struct('venue_id', venue_id, 'data', array(named_struct(
+                'id', cast(event_id AS bigint), 'name', name, 'image_url', logo_url,
+                'shows', array(named_struct('id', cast(id AS bigint), 'start_date_time',
+                    concat(translate(cast(start_date_time AS string), ' ', 'T'), '.000-05:00'))))))) AS value"""
+        )
+
+    def show_json(self) -> DataFrame:
+        start = "concat(translate(cast(start_date_time AS string), ' ', 'T'), 'Z')"
+        return self.shows().selectExpr(
+            f"""to_json(named_struct('show_id', id, 'data', named_struct(
+                'event_id', cast(event_id AS bigint), 'start_date_time', {start},
+                'sold_out', sold_out = 'True',
+                'event', named_struct('cancelled_at',
+                    CASE WHEN cast(id AS bigint) % 9 = 0 THEN {start} END)))) AS value"""
         )
 
     def order_link(self) -> DataFrame:

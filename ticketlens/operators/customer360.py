@@ -90,7 +90,7 @@ def customer_features(
     …), so each aggregate carries its condition, and a feature whose population is
     empty for a customer comes out NULL as a missed left join would.
     """
-    places = show_dimension(shows, events, venues, how="left").withColumn("has_show", F.lit(1))
+    places = show_dimension(shows, events, venues, how="left")
     totals = order_number_totals(orders, lines, places)
     facts = ft.order_facts(orders.where(is_valid_email(F.col("email"))), places, totals)
 

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketlens.operators.skew import is_small
+
 
 def show_dimension(shows: DataFrame, events: DataFrame, venues: DataFrame, how: str = "inner") -> DataFrame:
     """Shows with their event and venue: one row per show.
 
     The dimensions are joined with each other first, so a fact table meets them in
-    one join. No broadcast is forced: Spark broadcasts what is below its size
-    threshold and otherwise shuffles.
+    one join. Spark's own estimate of such a join is a product and far too high, so
+    the shows are counted here (one small job) and the result is broadcast only if
+    they are few; otherwise the fact table is shuffled by show.
     """
+    few = is_small(shows)
     show = shows.select("id", "event_id", "start_date_formatted", "day_of_week")
     event = events.select("id", "venue_id", "name", "special_event", "presents_event")
-    return (
+    places = (
         show.withColumnRenamed("id", "show_id")
         .join(
             event.withColumnsRenamed({"id": "event_id", "name": "event_name"}).withColumn("has_event", F.lit(1)),
@@ -23,7 +27,9 @@ def show_dimension(shows: DataFrame, events: DataFrame, venues: DataFrame, how:
             how,
         )
         .join(venues.select(F.col("id").alias("venue_id"), F.lit(1).alias("has_venue")), "venue_id", how)
+        .withColumn("has_show", F.lit(1))
     )
+    return F.broadcast(places) if few else places
 
 
 def orders_mart(
@@ -75,7 +81,7 @@ def order_orphans(
     orders: DataFrame, lines: DataFrame, shows: DataFrame, events: DataFrame, venues: DataFrame
 ) -> DataFrame:
     """Orders the mart leaves out, with the first missing link: line, show, event or venue."""
-    places = show_dimension(shows, events, venues, how="left").withColumn("has_show", F.lit(1))
+    places = show_dimension(shows, events, venues, how="left")
     with_lines = lines.select("order_number").distinct().withColumn("has_lines", F.lit(1))
     missing = (
         F.when(F.col("has_lines").isNull(), "line")

@@ -2,75 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+_S, _L, _T = StringType(), LongType(), TimestampNTZType()
+
+
+def _struct(texts: str = "", **others: DataType) -> StructType:
+    """Text fields by name, then fields of other types."""
+    fields = [StructField(name, _S) for name in texts.split()]
+    return StructType(fields + [StructField(name, kind) for name, kind in others.items()])
+
+
+def _ordered(**fields: DataType) -> StructType:
+    return _struct("", **fields)
+
 
 # Ids, numbers and booleans of the JSON feeds are read as text: the tables store
 # most of them as text, and a price that is no number must not blank its row.
-ORDER_JSON = StructType.fromDDL(
-    """
-    id string, order_number string, purchase_at string, booking_type string,
-    customer struct<id string, email string, name string, first_name string,
-                    last_name string, phone string, new_customer string>,
-    payments array<struct<payment_method string>>,
-    addons array<struct<name string>>,
-    tickets map<string, array<struct<id string, price string, printed string,
-                                     promo_code_id string, checked_in string>>>
-    """
+_TICKET = _struct("id price printed promo_code_id checked_in")
+ORDER_JSON = _struct(
+    "id order_number purchase_at booking_type",
+    customer=_struct("id email name first_name last_name phone new_customer"),
+    payments=ArrayType(_struct("payment_method")),
+    addons=ArrayType(_struct("name")),
+    tickets=MapType(_S, ArrayType(_TICKET)),
 )
 
 # Orders are landed under venue_id=…/show_id=… folders, which become columns.
-LANDED_ORDER_JSON = StructType(ORDER_JSON.fields + StructType.fromDDL("venue_id string, show_id string").fields)
+LANDED_ORDER_JSON = StructType(ORDER_JSON.fields + _struct("venue_id show_id").fields)
 
-CATALOG_JSON = StructType.fromDDL(
-    """
-    data array<struct<id string, name string, image_url string,
-                      shows array<struct<id string, start_date_time string>>>>,
-    venue_id string
-    """
-)
+_CATALOG_EVENT = _struct("id name image_url", shows=ArrayType(_struct("id start_date_time")))
+CATALOG_JSON = _struct("venue_id", data=ArrayType(_CATALOG_EVENT))
 
-SHOW_JSON = StructType.fromDDL(
-    """
-    data struct<event_id string, start_date_time string, sold_out string,
-                event struct<cancelled_at string>>,
-    show_id string
-    """
+SHOW_JSON = _struct(
+    "show_id", data=_struct("event_id start_date_time sold_out", event=_struct("cancelled_at"))
 )
 
-MESSAGE_JSON = StructType.fromDDL("m string, k string, s string, c string, b string, e string, t string")
-WEBHOOK_JSON = StructType.fromDDL("path string, httpMethod string, body string, received_at string")
+MESSAGE_JSON = _struct("m k s c b e t")
+WEBHOOK_JSON = _struct("path httpMethod body received_at")
 
-CONTACTS = StructType.fromDDL(
-    "email_address string, name string, name_first string, name_last string, sys_entry_date timestamp_ntz"
-)
-VENUES = StructType.fromDDL("id string, name string, city string, state string, insider_crm_id string")
-EVENTS = StructType.fromDDL("id string, venue_id string, name string, logo_url string")
-SHOWS = StructType.fromDDL(
-    "id string, event_id string, start_date_time timestamp_ntz, sold_out string, cancelled_at timestamp_ntz"
-)
-ORDERS = StructType.fromDDL(
-    """
-    id string, show_id string, order_number string, cust_id string, email string, phone string,
-    purchase_date timestamp_ntz, payment_method string, booking_type string, order_total bigint,
-    new_customer string, sys_entry_date timestamp_ntz, addons string
-    """
-)
-ORDERLINES = StructType.fromDDL(
-    """
-    id string, order_number string, ticket_name string, ticket_price bigint, printed string,
-    promo_code_id string, checked_in string
-    """
-)
-MESSAGES = StructType.fromDDL(
-    """
-    mobile_number string, keyword string, security_code string, campaign string, body string,
-    email string, timestamp timestamp_ntz
-    """
+CONTACTS = _struct("email_address name name_first name_last", sys_entry_date=_T)
+VENUES = _struct("id name city state insider_crm_id")
+EVENTS = _struct("id venue_id name logo_url")
+SHOWS = _ordered(id=_S, event_id=_S, start_date_time=_T, sold_out=_S, cancelled_at=_T)
+ORDERS = _ordered(
+    id=_S,
+    show_id=_S,
+    order_number=_S,
+    cust_id=_S,
+    email=_S,
+    phone=_S,
+    purchase_date=_T,
+    payment_method=_S,
+    booking_type=_S,
+    order_total=_L,
+    new_customer=_S,
+    sys_entry_date=_T,
+    addons=_S,
 )
-CRM_CONTACTS = StructType.fromDDL(
-    "email string, mobile_number string, optin_status string, date_last_updated timestamp_ntz"
+ORDERLINES = _ordered(
+    id=_S,
+    order_number=_S,
+    ticket_name=_S,
+    ticket_price=_L,
+    printed=_S,
+    promo_code_id=_S,
+    checked_in=_S,
 )
-TAG_MAP = StructType.fromDDL("campaign string, tag string")
-ORDER_LINK = StructType.fromDDL("order_number string, connection string, crm_id string")
-PUSH_RESULTS = StructType.fromDDL("venue_id string, entity string, key string, outcome string")
-MARKS = StructType.fromDDL("job string, mark timestamp_ntz")
+MESSAGES = _struct("mobile_number keyword security_code campaign body email", timestamp=_T)
+SUBSCRIBERS = _struct("mobile_number mobile_status email_address", join_date=_T, last_message_date=_T)
+CRM_CONTACTS = _struct("email mobile_number optin_status", date_last_updated=_T)
+TAG_MAP = _struct("campaign tag")
+ORDER_LINK = _struct("order_number connection crm_id")
+PUSH_RESULTS = _struct("venue_id entity key outcome")
+MARKS = _struct("job", mark=_T)

@@ -15,11 +15,11 @@ def read_orders_json(spark: SparkSession, root: str, lines: bool = False) -> Dat
     return spark.read.schema(LANDED_ORDER_JSON).json(root, multiLine=not lines)
 
 
-def read_catalog_json(spark: SparkSession, root: str) -> DataFrame:
+def read_catalog_json(spark: SparkSession, root: str, lines: bool = False) -> DataFrame:
     """Venue catalogues landed as ``root/venue_id=…/*.json``."""
-    return spark.read.schema(CATALOG_JSON).json(root, multiLine=True)
+    return spark.read.schema(CATALOG_JSON).json(root, multiLine=not lines)
 
 
-def read_show_json(spark: SparkSession, root: str) -> DataFrame:
+def read_show_json(spark: SparkSession, root: str, lines: bool = False) -> DataFrame:
     """Show details landed as ``root/show_id=…/*.json``."""
-    return spark.read.schema(SHOW_JSON).json(root, multiLine=True)
+    return spark.read.schema(SHOW_JSON).json(root, multiLine=not lines)

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from ticketlens.functions import wall_clock
 from ticketlens.operators.sms import subscriber_columns, subscriber_fields
-from ticketlens.schemas import MESSAGE_JSON, MESSAGES
+from ticketlens.schemas import MESSAGE_JSON, MESSAGES, SUBSCRIBERS
 from ticketlens.semantics import STOP_PATTERN
 from ticketlens.sources.tables import read_version, write_version
 from ticketlens.sources.upsert import upsert
@@ -24,11 +24,6 @@ MESSAGE_FIELDS = {
     "email": "e",
 }
 
-SUBSCRIBERS = StructType.fromDDL(
-    "mobile_number string, mobile_status string, email_address string, "
-    "join_date timestamp_ntz, last_message_date timestamp_ntz"
-)
-
 
 def message_rows(requests: DataFrame) -> DataFrame:
     """Requests with one-letter fields to message rows; blank emails are missing emails."""
