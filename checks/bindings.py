@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ticketlens.plans.rebuild import BaseTables, Options, processed_tables
 from ticketlens.schemas import LANDED_ORDER_JSON
@@ -12,8 +17,8 @@ from ticketlens.sources.tables import load_table
 AS_OF = "1998-06-30"
 MARK = "1998-06-01"
 CUTOFF = "1996-06-01"
-MESSAGES_AS_OF = "2024-01-20"
-MESSAGES_MARK = "2024-01-10"
+MESSAGES_AS_OF = "2024-01-30 20:00:00"
+MESSAGES_MARK = "2024-01-30 00:00:00"
 
 OPTIONS = Options(comp_pattern="%low%", special_pattern="%promo%", presents_pattern="%large%")
 
@@ -21,6 +26,28 @@ TAG_MAP = [("click", "Clicker"), ("purchase", "Buyer"), ("error", "IGNORE-errors
 TAG_DIM = [("Clicker", "11"), ("signup", "12"), ("Buyer", "13")]
 
 
+# Schemas found so far by path: finding one takes a job, so each file is asked once.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def parsed(json_text: DataFrame, schema: StructType) -> DataFrame:
+    """Documents as columns. ``inline`` parses each once; a struct would be parsed per field read."""
+    return json_text.select(F.inline(F.array(F.from_json("value", schema))))
+
+
+def once(build: Callable[..., Any]) -> Callable[..., Any]:
+    """Build each lazy table once per TestTables; opening a file costs a small job."""
+
+    @wraps(build)
+    def cached(self, *args):
+        key = (build.__name__, *args)
+        if key not in self._built:
+            self._built[key] = build(self, *args)
+        return self._built[key]
+
+    return cached
+
+
 class TestTables:
     """Lazy tables over one scale-factor folder."""
 
@@ -29,10 +56,16 @@ class TestTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._built: dict[tuple, Any] = {}
 
+    @once
     def raw(self, name: str) -> DataFrame:
-        return load_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        df = load_table(self.spark, path, _SCHEMAS.get(path))
+        _SCHEMAS[path] = df.schema
+        return df
 
+    @once
     def contacts(self) -> DataFrame:
         return self.raw("customer").selectExpr(
             "concat('c', c_custkey, '@example.com') AS email_address",
@@ -43,6 +76,7 @@ class TestTables:
             " AS sys_entry_date",
         )
 
+    @once
     def venues(self) -> DataFrame:
         return self.raw("nation").selectExpr(
             "cast(n_nationkey AS string) AS id",
@@ -52,6 +86,7 @@ class TestTables:
             "CASE WHEN n_nationkey % 7 <> 0 THEN cast(100 + n_nationkey AS string) END AS insider_crm_id",
         )
 
+    @once
     def events(self) -> DataFrame:
         return self.raw("part").where("p_partkey < 100").selectExpr(
             "cast(p_partkey AS string) AS id",
@@ -60,6 +95,7 @@ class TestTables:
             "p_brand AS logo_url",
         )
 
+    @once
     def shows(self) -> DataFrame:
         return self.raw("part").selectExpr(
             "cast(p_partkey AS string) AS id",
@@ -70,6 +106,7 @@ class TestTables:
             "cast(null AS timestamp_ntz) AS cancelled_at",
         )
 
+    @once
     def orders(self) -> DataFrame:
         show = self.raw("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
             F.min("l_partkey").alias("show_key")
@@ -92,6 +129,7 @@ class TestTables:
             "'' AS addons",
         )
 
+    @once
     def orderlines(self) -> DataFrame:
         return self.raw("lineitem").selectExpr(
             "concat(l_orderkey, '-', l_linenumber) AS id",
@@ -103,6 +141,7 @@ class TestTables:
             "l_returnflag AS checked_in",
         )
 
+    @once
     def messages(self) -> DataFrame:
         return self.raw("events").selectExpr(
             "lpad(cast(user_id AS string), 9, '0') AS mobile_number",
@@ -115,24 +154,30 @@ class TestTables:
             "ts AS timestamp",
         )
 
+    @once
     def crm_contacts(self) -> DataFrame:
         return self.raw("customer").selectExpr(
             "concat('c', c_custkey, '@example.com') AS email",
             "CASE WHEN c_custkey % 2 = 0 THEN concat('+', lpad(cast(c_custkey AS string), 9, '0')) END"
             " AS mobile_number",
             "CASE c_custkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'No' END AS optin_status",
-            "timestamp_ntz'2024-01-15 00:00:00' AS date_last_updated",
+            "CASE WHEN c_custkey % 11 = 10 THEN NULL WHEN c_custkey % 4 < 2 THEN timestamp_ntz'2024-01-15 00:00:00'"
+            " ELSE timestamp_ntz'2024-02-01 00:00:00' END AS date_last_updated",
         )
 
+    @once
     def tag_map(self) -> DataFrame:
         return self.spark.createDataFrame(TAG_MAP, "campaign string, tag string")
 
+    @once
     def tag_dim(self) -> DataFrame:
         return self.spark.createDataFrame(TAG_DIM, "tag string, tag_id string")
 
+    @once
     def lists(self) -> DataFrame:
         return self.venues().selectExpr("id AS venue_id", "insider_crm_id AS list_id")
 
+    @once
     def connections(self) -> DataFrame:
         return self.raw("nation").where("n_nationkey % 5 <> 4").selectExpr(
             "cast(n_nationkey AS string) AS venue_id", "cast(n_nationkey + 1 AS string) AS connection"
@@ -148,10 +193,12 @@ class TestTables:
             " AS crm_customer_id",
         )
 
+    @once
     def order_json(self) -> DataFrame:
         """Order documents as JSON text, one sighting per line item."""
+        # A merge join spreads the documents over tasks; a broadcast would keep the scan's split.
         lines = self.raw("lineitem").join(
-            self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+            self.raw("orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
         )
         bad = "o_orderkey % 17 = 0 AND l_linenumber = 1"
         return lines.selectExpr(
@@ -185,9 +232,11 @@ class TestTables:
             )) AS value"""
         )
 
+    @once
     def order_sightings(self) -> DataFrame:
-        return self.order_json().select(F.from_json("value", LANDED_ORDER_JSON).alias("doc")).select("doc.*")
+        return parsed(self.order_json(), LANDED_ORDER_JSON)
 
+    @once
     def catalog_json(self) -> DataFrame:
         """Catalogue documents, one event and show each."""
         events = self.events().withColumnRenamed("id", "event_id")
@@ -198,6 +247,7 @@ class TestTables:
                     concat(translate(cast(start_date_time AS string), ' ', 'T'), '.000-05:00'))))))) AS value"""
         )
 
+    @once
     def show_json(self) -> DataFrame:
         start = "concat(translate(cast(start_date_time AS string), ' ', 'T'), 'Z')"
         return self.shows().selectExpr(
@@ -208,6 +258,7 @@ class TestTables:
                     CASE WHEN cast(id AS bigint) % 9 = 0 THEN {start} END)))) AS value"""
         )
 
+    @once
     def order_link(self) -> DataFrame:
         return self.raw("orders").where("o_orderkey % 4 = 0").selectExpr(
             "cast(o_orderkey AS string) AS order_number",
@@ -215,6 +266,7 @@ class TestTables:
             "concat('x', o_orderkey) AS crm_id",
         )
 
+    @once
     def responses(self) -> DataFrame:
         """A log of push responses, one per order."""
         return self.raw("orders").selectExpr(
@@ -225,6 +277,7 @@ class TestTables:
             " WHEN 1 THEN '{\"errors\":[{\"code\":\"invalid\"}]}' WHEN 2 THEN 'gateway' ELSE '{}' END AS body",
         )
 
+    @once
     def base(self) -> BaseTables:
         return BaseTables(
             contacts=self.contacts(),
@@ -237,5 +290,6 @@ class TestTables:
             crm_contacts=self.crm_contacts(),
         )
 
+    @once
     def processed(self) -> dict[str, DataFrame]:
         return processed_tables(self.base(), OPTIONS)

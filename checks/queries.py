@@ -15,6 +15,7 @@ from checks.bindings import (
     MESSAGES_MARK,
     OPTIONS,
     TestTables,
+    parsed,
 )
 from ticketlens import functions as fn
 from ticketlens.functions.sqlfuncs import register_functions
@@ -290,12 +291,8 @@ def read_show_json(t: TestTables) -> DataFrame:
 # --- ingest ---------------------------------------------------------------------------
 
 
-def _parsed(json_text: DataFrame, schema) -> DataFrame:
-    return json_text.select(F.from_json("value", schema).alias("doc")).select("doc.*")
-
-
 def _catalog(t: TestTables) -> DataFrame:
-    return _parsed(t.catalog_json(), json_api.CATALOG_JSON)
+    return parsed(t.catalog_json(), json_api.CATALOG_JSON)
 
 
 @query
@@ -338,7 +335,7 @@ def recent_shows(t: TestTables) -> DataFrame:
 
 @query
 def flatten_shows(t: TestTables) -> DataFrame:
-    return ingest.flatten_shows(_parsed(t.show_json(), json_api.SHOW_JSON))
+    return ingest.flatten_shows(parsed(t.show_json(), json_api.SHOW_JSON))
 
 
 @query

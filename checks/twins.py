@@ -90,7 +90,8 @@ _CTES: dict[str, str] = {
     "t_crm": """SELECT 'c' || c_custkey || '@example.com' AS email,
         CASE WHEN c_custkey % 2 = 0 THEN '+' || lpad(c_custkey::VARCHAR, 9, '0') END AS mobile_number,
         CASE c_custkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'No' END AS optin_status,
-        TIMESTAMP '2024-01-15' AS date_last_updated FROM customer""",
+        CASE WHEN c_custkey % 11 = 10 THEN NULL WHEN c_custkey % 4 < 2 THEN TIMESTAMP '2024-01-15'
+        ELSE TIMESTAMP '2024-02-01' END AS date_last_updated FROM customer""",
     "t_tag_map": f"SELECT * FROM (VALUES {_values(TAG_MAP)}) AS v(campaign, tag)",
     "t_tag_dim": f"SELECT * FROM (VALUES {_values(TAG_DIM)}) AS v(tag, tag_id)",
     "t_connections": """SELECT n_nationkey::VARCHAR AS venue_id, (n_nationkey + 1)::VARCHAR AS connection

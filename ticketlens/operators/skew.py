@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key set of at most this many rows is sent to every task; beyond it, shuffled.
@@ -41,9 +41,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL-safe equality on every key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on NULL-safe equality of the keys; the right side's keys are not kept.
+
+    The right keys are renamed first, so both sides may come from one table.
+    """
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    equal = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, equal, how).drop(*[f"_right_{key}" for key in keys])
 
 
 def semi_on(df: DataFrame, keys: DataFrame, on: str, key: str | None = None) -> DataFrame:
@@ -85,9 +90,8 @@ def collect_parts(
     if big.isEmpty():
         return ordinary(rows)
     big = broadcast_if_small(big)
-    on_keys = same_keys(rows, big, keys)
-    return ordinary(rows.join(big, on_keys, "left_anti")).unionByName(
-        _large_lists(rows.join(big, on_keys).select(rows["*"], big["_parts"]), keys, name, max_items)
+    return ordinary(join_on_keys(rows, big, keys, "left_anti")).unionByName(
+        _large_lists(join_on_keys(rows, big, keys, "inner"), keys, name, max_items)
     )
 
 
@@ -133,7 +137,5 @@ def pick_row(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) ->
     Spark limits each key to ``n`` rows before the shuffle as well (group limit), so
     a hot key costs ``n`` rows per map task, not its full size.
     """
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")

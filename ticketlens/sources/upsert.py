@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ticketlens.operators.skew import one_per_key, same_keys
+from ticketlens.operators.skew import join_on_keys, one_per_key
 from ticketlens.sources.tables import read_version, write_version
 
 
@@ -31,11 +31,11 @@ def upsert(
     """
     updates = updates.select(*target.columns)
     changed = updates.select(*keys).distinct()
-    untouched = target.join(changed, same_keys(target, changed, keys), "left_anti")
+    untouched = join_on_keys(target, changed, keys, "left_anti")
     if newest_first is None:
         latest = newest_per_key(updates, keys, [])
     else:
-        stored = target.join(changed, same_keys(target, changed, keys), "left_semi")
+        stored = join_on_keys(target, changed, keys, "left_semi")
         latest = newest_per_key(stored.unionByName(updates), keys, newest_first)
     return untouched.unionByName(latest)
 
