@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ticketlens.functions import is_valid_email, whole_units
 from ticketlens.operators import features as ft
-from ticketlens.operators.marts import order_number_totals, show_dimension
+from ticketlens.operators.marts import line_totals, order_number_totals, show_dimension
 from ticketlens.semantics import RECENCY_WINDOWS, WEEKDAY_LETTERS, Moment
 
 _WEEKDAYS = [f"shows_attended_{letter}" for letter in WEEKDAY_LETTERS]
@@ -83,16 +83,32 @@ def customer_features(
     as_of: Moment,
     weekday_mode: str = "corrected",
     count_mode: str = "orders",
+    unique_order_numbers: bool = False,
 ) -> DataFrame:
     """All customer features in one aggregate over one pass of the orders.
 
     Each feature has its own population (orders with a show, with counted tickets,
     …), so each aggregate carries its condition, and a feature whose population is
     empty for a customer comes out NULL as a missed left join would.
+
+    Orders that share a number multiply its lines, which takes a second, narrow pass
+    over the orders; ``unique_order_numbers=True`` saves it where
+    ``duplicate_order_numbers`` is known to be empty.
     """
     places = show_dimension(shows, events, venues, how="left")
-    totals = order_number_totals(orders, lines, places)
-    facts = ft.order_facts(orders.where(is_valid_email(F.col("email"))), places, totals)
+    named_orders = orders.where(is_valid_email(F.col("email")))
+    if unique_order_numbers:
+        facts = ft.order_facts(named_orders, places, line_totals(lines))
+        tickets = F.when(F.col("has_venue") == 1, F.col("n_lines"))
+        facts = facts.withColumns(
+            {
+                "tickets": tickets,
+                "paid_tickets": F.when(F.col("not_comped") == 1, tickets),
+                "comp_tickets": F.when(F.col("comped") == 1, tickets),
+            }
+        )
+    else:
+        facts = ft.order_facts(named_orders, places, order_number_totals(orders, lines, places))
 
     placed = F.col("has_show") == 1
     with_event = F.col("has_event") == 1
@@ -133,12 +149,8 @@ def customer_features(
         *ft.recency_columns(as_of),
         named(F.max_by("phone", F.when(with_event, newest)), "phone"),
         named(F.max(F.when(with_event, F.col("purchase_date_formatted"))), "last_ordered_date"),
-        named(
-            if_any(with_event, F.count_if(F.col("special_event") == 1)), "count_shows_special"
-        ),
-        named(
-            if_any(with_event, F.count_if(F.col("presents_event") == 1)), "count_shows_persents"
-        ),
+        named(if_any(with_event, F.count_if(F.col("special_event") == 1)), "count_shows_special"),
+        named(if_any(with_event, F.count_if(F.col("presents_event") == 1)), "count_shows_persents"),
         named(whole_units(total(F.col("not_comped") == 1, "line_cents")), "total_revenue"),
     ]
     return (
@@ -168,11 +180,14 @@ def customer_360(
     as_of: Moment,
     weekday_mode: str = "corrected",
     count_mode: str = "orders",
+    unique_order_numbers: bool = False,
 ) -> DataFrame:
     """The wide table straight from the processed tables.
 
     Orders are scanned once and shuffled by email once; no feature table is built.
     """
-    features = customer_features(orders, lines, shows, events, venues, as_of, weekday_mode, count_mode)
+    features = customer_features(
+        orders, lines, shows, events, venues, as_of, weekday_mode, count_mode, unique_order_numbers
+    )
     keyed = contacts.withColumn(ft.KEY, F.col("email_address"))
     return keyed.join(features, ft.KEY, "left").select(*_wide_columns())

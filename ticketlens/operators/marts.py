@@ -130,6 +130,13 @@ def ticket_counts(mart: DataFrame) -> DataFrame:
     )
 
 
+def line_totals(lines: DataFrame) -> DataFrame:
+    """Number and value of the lines per order number."""
+    return lines.groupBy("order_number").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("ticket_price").alias("line_cents")
+    )
+
+
 def order_number_totals(orders: DataFrame, lines: DataFrame, places: DataFrame) -> DataFrame:
     """:func:`ticket_counts` plus line revenue per order number, without building the mart.
 
@@ -137,9 +144,7 @@ def order_number_totals(orders: DataFrame, lines: DataFrame, places: DataFrame)
     meet, so no line row is joined. Multiplying the counts equals counting the joined
     rows, also where several orders share a number.
     """
-    per_lines = lines.groupBy("order_number").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum("ticket_price").alias("line_cents")
-    )
+    per_lines = line_totals(lines)
     per_orders = (
         orders.join(places.where(F.col("has_venue") == 1).select("show_id"), "show_id", "left_semi")
         .groupBy("order_number")
