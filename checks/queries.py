@@ -513,8 +513,8 @@ def ticket_counts(t: TestTables) -> DataFrame:
 @query
 def order_number_totals(t: TestTables) -> DataFrame:
     orders, shows, events, venues = _places(t)
-    places = marts.show_dimension(shows, events, venues)
-    return marts.order_number_totals(orders, t.processed()["orderlines_processed"], places)
+    placed = marts.place_orders(orders, shows, events, venues)
+    return marts.order_number_totals(placed, t.processed()["orderlines_processed"])
 
 
 @query

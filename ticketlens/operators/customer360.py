@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ticketlens.functions import is_valid_email, whole_units
 from ticketlens.operators import features as ft
-from ticketlens.operators.marts import line_totals, order_number_totals, show_dimension
+from ticketlens.operators.marts import line_totals, order_number_totals, place_orders
+from ticketlens.operators.skew import lookup_join
 from ticketlens.semantics import RECENCY_WINDOWS, WEEKDAY_LETTERS, Moment
 
 _WEEKDAYS = [f"shows_attended_{letter}" for letter in WEEKDAY_LETTERS]
@@ -95,10 +96,11 @@ def customer_features(
     over the orders; ``unique_order_numbers=True`` saves it where
     ``duplicate_order_numbers`` is known to be empty.
     """
-    places = show_dimension(shows, events, venues, how="left")
-    named_orders = orders.where(is_valid_email(F.col("email")))
+    placed_orders = place_orders(orders, shows, events, venues, how="left")
+    totals = line_totals(lines) if unique_order_numbers else order_number_totals(placed_orders, lines)
+    named_orders = placed_orders.where(is_valid_email(F.col("email")))
+    facts = lookup_join(named_orders, totals, "order_number", "left")
     if unique_order_numbers:
-        facts = ft.order_facts(named_orders, places, line_totals(lines))
         tickets = F.when(F.col("has_venue") == 1, F.col("n_lines"))
         facts = facts.withColumns(
             {
@@ -107,8 +109,6 @@ def customer_features(
                 "comp_tickets": F.when(F.col("comped") == 1, tickets),
             }
         )
-    else:
-        facts = ft.order_facts(named_orders, places, order_number_totals(orders, lines, places))
 
     placed = F.col("has_show") == 1
     with_event = F.col("has_event") == 1

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketlens.functions import whole_units
+from ticketlens.operators.marts import line_totals, place_orders
+from ticketlens.operators.skew import lookup_join
 from ticketlens.semantics import (
     RECENCY_WINDOWS,
     WEEKDAY_LETTERS,
@@ -85,7 +87,7 @@ def ticket_lead_stats(orders: DataFrame, shows: DataFrame, counts: DataFrame) ->
     """Average days from purchase to show and average tickets per order."""
     starts = shows.select(F.col("id").alias("show_id"), "start_date_formatted")
     counted = counts.where(F.col("tickets").isNotNull()).select("order_number", "tickets")
-    return _by_email(orders.join(starts, "show_id").join(counted, "order_number")).agg(
+    return _by_email(lookup_join(orders.join(starts, "show_id"), counted, "order_number")).agg(
         F.avg(F.datediff("start_date_formatted", "purchase_date_formatted")).alias("avg_purchase_to_show_days"),
         (F.sum("tickets") / F.count(F.lit(1))).alias("avg_tickets_per_order"),
     )
@@ -94,7 +96,7 @@ def ticket_lead_stats(orders: DataFrame, shows: DataFrame, counts: DataFrame) ->
 def paid_lifetime(orders: DataFrame, counts: DataFrame) -> DataFrame:
     """Paid orders, paid tickets and paid tickets per order."""
     counted = counts.where(F.col("paid_tickets").isNotNull()).select("order_number", "paid_tickets")
-    return _by_email(orders.join(counted, "order_number")).agg(
+    return _by_email(lookup_join(orders, counted, "order_number")).agg(
         F.count(F.lit(1)).alias("total_lifetime_paid_orders"),
         F.sum("paid_tickets").alias("total_lifetime_paid_tickets"),
         (F.sum("paid_tickets") / F.count(F.lit(1))).alias("avg_tickets_per_paid_order"),
@@ -105,7 +107,7 @@ def comp_lifetime(orders: DataFrame, shows: DataFrame, counts: DataFrame) -> Dat
     """Complimentary orders, tickets, tickets per order and the last such show day."""
     starts = shows.select(F.col("id").alias("show_id"), "start_date_formatted")
     counted = counts.where(F.col("comp_tickets").isNotNull()).select("order_number", "comp_tickets")
-    return _by_email(orders.join(starts, "show_id").join(counted, "order_number")).agg(
+    return _by_email(lookup_join(orders.join(starts, "show_id"), counted, "order_number")).agg(
         F.max("start_date_formatted").alias("last_comp_show_date"),
         F.count(F.lit(1)).alias("total_lifetime_comp_orders"),
         F.sum("comp_tickets").alias("total_lifetime_comp_tickets"),
@@ -178,10 +180,8 @@ def recency_spend(orders: DataFrame, as_of: Moment, windows: Sequence[int] = REC
 
 def special_event_stats(orders: DataFrame, shows: DataFrame, events: DataFrame) -> DataFrame:
     """Special and presented event orders, last order day, phone of the newest order."""
-    event = events.select(F.col("id").alias("event_id"), "special_event", "presents_event")
-    show = shows.select(F.col("id").alias("show_id"), "event_id").join(event, "event_id")
     newest = F.struct("purchase_date_formatted", "id")
-    return _by_email(orders.join(show, "show_id")).agg(
+    return _by_email(place_orders(orders, shows, events)).agg(
         F.max_by("phone", newest).alias("phone"),
         F.max("purchase_date_formatted").alias("last_ordered_date"),
         F.count_if(F.col("special_event") == 1).alias("count_shows_special"),
@@ -194,19 +194,8 @@ def total_spend(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
     Lines are summed per order number first, so the join meets one row per number.
     """
-    revenue = lines.groupBy("order_number").agg(F.sum("ticket_price").alias("line_cents"))
+    revenue = line_totals(lines).drop("n_lines")
     paid = orders.where(F.col("not_comped") == 1).select("email", "order_number")
-    return _by_email(paid.join(revenue, "order_number")).agg(
+    return _by_email(lookup_join(paid, revenue, "order_number")).agg(
         whole_units(F.sum("line_cents")).alias("total_revenue")
     )
-
-
-def order_facts(orders: DataFrame, places: DataFrame, totals: DataFrame) -> DataFrame:
-    """One row per order with everything the customer features read.
-
-    ``places`` is a left-joined ``show_dimension`` with a ``has_show`` flag and
-    ``totals`` an ``order_number_totals``.
-    """
-    return orders.join(places.drop("event_id", "day_of_week"), "show_id", "left").join(
-        totals, "order_number", "left"
-    )

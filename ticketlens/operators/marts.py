@@ -5,31 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlens.operators.skew import is_small
+from ticketlens.operators.skew import is_small, lookup_join
 
 
-def show_dimension(shows: DataFrame, events: DataFrame, venues: DataFrame, how: str = "inner") -> DataFrame:
-    """Shows with their event and venue: one row per show.
+def show_dimension(
+    shows: DataFrame, events: DataFrame, venues: DataFrame | None = None, how: str = "inner"
+) -> DataFrame:
+    """Shows with their event and, if given, venue: one row per show, keyed by ``show_id``."""
+    show = shows.select(F.col("id").alias("show_id"), "event_id", "start_date_formatted", "day_of_week")
+    event = events.select(
+        F.col("id").alias("event_id"),
+        "venue_id",
+        F.col("name").alias("event_name"),
+        "special_event",
+        "presents_event",
+        F.lit(1).alias("has_event"),
+    )
+    places = show.withColumn("has_show", F.lit(1)).join(event, "event_id", how)
+    if venues is not None:
+        venue = venues.select(F.col("id").alias("venue_id"), F.lit(1).alias("has_venue"))
+        places = places.join(venue, "venue_id", how)
+    return places
+
+
+def place_orders(
+    orders: DataFrame,
+    shows: DataFrame,
+    events: DataFrame,
+    venues: DataFrame | None = None,
+    how: str = "inner",
+) -> DataFrame:
+    """Orders with the columns of their :func:`show_dimension`.
 
-    The dimensions are joined with each other first, so a fact table meets them in
-    one join. Spark's own estimate of such a join is a product and far too high, so
-    the shows are counted here (one small job) and the result is broadcast only if
-    they are few; otherwise the fact table is shuffled by show.
+    The dimensions are joined with each other first, so the orders meet them in one
+    join. Spark's own size estimate of such a join is a product and far too high, so
+    the shows are counted (one small job): few are broadcast, many are shuffled with
+    hot shows kept apart.
     """
-    few = is_small(shows)
-    show = shows.select("id", "event_id", "start_date_formatted", "day_of_week")
-    event = events.select("id", "venue_id", "name", "special_event", "presents_event")
-    places = (
-        show.withColumnRenamed("id", "show_id")
-        .join(
-            event.withColumnsRenamed({"id": "event_id", "name": "event_name"}).withColumn("has_event", F.lit(1)),
-            "event_id",
-            how,
-        )
-        .join(venues.select(F.col("id").alias("venue_id"), F.lit(1).alias("has_venue")), "venue_id", how)
-        .withColumn("has_show", F.lit(1))
-    )
-    return F.broadcast(places) if few else places
+    places = show_dimension(shows, events, venues, how).drop("event_id", "day_of_week")
+    if is_small(shows):
+        return orders.join(F.broadcast(places), "show_id", how)
+    return lookup_join(orders, places, "show_id", how)
 
 
 def orders_mart(
@@ -40,8 +56,7 @@ def orders_mart(
     Orders without lines, show, event or venue drop out; :func:`order_orphans`
     lists them.
     """
-    places = show_dimension(shows, events, venues).select("show_id", "venue_id", "event_name")
-    placed = orders.join(places, "show_id")
+    placed = place_orders(orders, shows, events, venues)
     return (
         placed.withColumnsRenamed({"id": "externalid", "order_number": "orderNumber"})
         .join(
@@ -81,7 +96,6 @@ def order_orphans(
     orders: DataFrame, lines: DataFrame, shows: DataFrame, events: DataFrame, venues: DataFrame
 ) -> DataFrame:
     """Orders the mart leaves out, with the first missing link: line, show, event or venue."""
-    places = show_dimension(shows, events, venues, how="left")
     with_lines = lines.select("order_number").distinct().withColumn("has_lines", F.lit(1))
     missing = (
         F.when(F.col("has_lines").isNull(), "line")
@@ -89,10 +103,10 @@ def order_orphans(
         .when(F.col("has_event").isNull(), "event")
         .when(F.col("has_venue").isNull(), "venue")
     )
+    narrow = orders.select("id", "order_number", "show_id", "email")
+    placed = place_orders(narrow, shows, events, venues, how="left")
     return (
-        orders.select("id", "order_number", "show_id", "email")
-        .join(places.select("show_id", "has_show", "has_event", "has_venue"), "show_id", "left")
-        .join(with_lines, "order_number", "left")
+        lookup_join(placed, with_lines, "order_number", "left")
         .select("id", "order_number", "email", missing.alias("missing"))
         .where(F.col("missing").isNotNull())
     )
@@ -100,8 +114,7 @@ def order_orphans(
 
 def visits(orders: DataFrame, shows: DataFrame, events: DataFrame, venues: DataFrame) -> DataFrame:
     """(email, day, title, venue) of every order with a show, event and venue."""
-    places = show_dimension(shows, events, venues)
-    return orders.join(places, "show_id").select(
+    return place_orders(orders.select("email", "show_id"), shows, events, venues).select(
         F.col("email").alias("subscriber_key"),
         "start_date_formatted",
         F.col("event_name").alias("event_title"),
@@ -114,7 +127,7 @@ def attended_events(
 ) -> DataFrame:
     """:func:`visits` of known contacts, one row per order."""
     known = contacts.select(F.col("email_address").alias("subscriber_key"))
-    return visits(orders, shows, events, venues).join(known, "subscriber_key")
+    return lookup_join(visits(orders, shows, events, venues), known, "subscriber_key")
 
 
 def ticket_counts(mart: DataFrame) -> DataFrame:
@@ -137,16 +150,17 @@ def line_totals(lines: DataFrame) -> DataFrame:
     )
 
 
-def order_number_totals(orders: DataFrame, lines: DataFrame, places: DataFrame) -> DataFrame:
+def order_number_totals(placed: DataFrame, lines: DataFrame) -> DataFrame:
     """:func:`ticket_counts` plus line revenue per order number, without building the mart.
 
+    ``placed`` are orders from :func:`place_orders`; those without a venue do not count.
     Lines and orders are each aggregated to one row per order number before they
     meet, so no line row is joined. Multiplying the counts equals counting the joined
     rows, also where several orders share a number.
     """
     per_lines = line_totals(lines)
     per_orders = (
-        orders.join(places.where(F.col("has_venue") == 1).select("show_id"), "show_id", "left_semi")
+        placed.where(F.col("has_venue") == 1)
         .groupBy("order_number")
         .agg(
             F.count(F.lit(1)).alias("n_orders"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketlens.functions import is_valid_email
-from ticketlens.operators.skew import semi_on
+from ticketlens.operators.skew import semi_on, semi_on_dimension
 from ticketlens.semantics import (
     BOUNDARY_WINDOWS,
     Moment,
@@ -44,7 +44,8 @@ def shows_to_repull(
     bound = at(days_before(mark, lookback_days))
     start = F.col("start_date_time")
     wanted = events.where(F.col("venue_id").isin(*venue_ids))
-    return semi_on(shows.where(start > bound if strict else start >= bound), wanted, "event_id", "id")
+    late = shows.where(start > bound if strict else start >= bound)
+    return semi_on_dimension(late, wanted, "event_id", "id")
 
 
 def changed_orders(
@@ -68,7 +69,7 @@ def changed_contacts(
     """Contacts entered since the mark, or with an order for a show that has started since."""
     started = shows.where(days_between(F.col("start_date_formatted"), mark, as_of))
     attendees = (
-        semi_on(mart, started, "orderproduct_category", "id")
+        semi_on_dimension(mart, started, "orderproduct_category", "id")
         .select(F.col("email").alias("email_address"), F.lit(1).alias("_attended"))
         .distinct()
     )

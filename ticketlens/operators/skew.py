@@ -1,9 +1,14 @@
 """Helpers that keep one huge key from landing in one task.
 
-Aggregates over a hot key are safe on their own (Spark combines before the
-shuffle). Joins of a hot key against a side with one row per key are split at run
-time by adaptive execution. Lists are the exception: a list per key puts the whole
-key in one row, so :func:`collect_parts` cuts the lists of large keys into parts.
+Aggregates over a hot key are safe on their own: Spark combines before the shuffle.
+Three cases need more:
+
+* A join of two scanned or shuffled tables is split at run time by adaptive
+  execution. It cannot do so where one side is an aggregate or join of its own, so
+  such sides meet hot keys through :func:`lookup_join`.
+* A list per key puts the whole key in one row: :func:`collect_parts` cuts the lists
+  of large keys into parts.
+* Picking rows of a key: :func:`pick_row` limits each key before the shuffle.
 """
 
 from __future__ import annotations
@@ -17,6 +22,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 # Items per list before a key's list is cut into parts.
 LIST_ITEMS = 10_000
+# A key is hot with more rows than this and more than a thousandth of all rows.
+HOT_ROWS = 1_000_000
+HOT_KEYS = 1000
+# Keys that one frequency sketch keeps, and sketches that are merged side by side.
+_SKETCH_KEYS = 4 * HOT_KEYS
+_SKETCH_GROUPS = 256
 # Copies of one item are re-expanded in two steps of at most this many rows each.
 _EXPAND_STEP = 4096
 
@@ -51,14 +62,68 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -
     return left.join(renamed, equal, how).drop(*[f"_right_{key}" for key in keys])
 
 
+def hot_keys(df: DataFrame, key: str) -> list:
+    """The hot values of ``key``, NULL included, at most ``HOT_KEYS`` of them.
+
+    Runs one pass over the key column with a frequency sketch per task: no key is
+    shuffled, and the sketches are merged in two steps. The counts are estimates,
+    which is enough to route rows by.
+    """
+    row = (
+        df.select(F.col(key).alias("key"), (F.spark_partition_id() % _SKETCH_GROUPS).alias("part"))
+        .groupBy("part")
+        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(key, {_SKETCH_KEYS})").alias("sketch"))
+        .groupBy(F.lit(1).alias("all"))  # a grouped aggregate, which may be empty
+        .agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {_SKETCH_KEYS})").alias("sketch"))
+        .selectExpr("n", f"approx_top_k_estimate(sketch, {HOT_KEYS}) AS top")
+        .first()
+    )
+    if row is None:
+        return []
+    bound = max(HOT_ROWS, row["n"] // 1000)
+    return [entry["item"] for entry in row["top"] if entry["count"] > bound]
+
+
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join (inner, left or left_semi) with a side that has at most one row per key.
+
+    Rows of hot keys, and unmatched NULL keys if they are many, stay where they are and
+    meet the few right rows of those keys by broadcast; all other rows join as usual.
+    Every row takes exactly one of the two ways. Looks for hot keys first (one job).
+    """
+    hot = hot_keys(left, key)
+    if not hot:
+        return left.join(right, key, how)
+    values = [value for value in hot if value is not None]
+    is_hot = F.coalesce(F.col(key).isin(values), F.lit(None in hot))
+    few = F.broadcast(right.where(F.col(key).isin(values)))
+    cold = left.where(~is_hot).join(right, key, how)
+    return cold.unionByName(left.where(is_hot).join(few, key, how))
+
+
 def semi_on(df: DataFrame, keys: DataFrame, on: str, key: str | None = None) -> DataFrame:
-    """Rows of ``df`` whose ``on`` occurs in ``keys[key]``.
+    """Rows of ``df`` whose ``on`` occurs in ``keys[key]``; ``df`` has few rows per value.
 
     The key side is reduced to distinct values first: a semi join cannot split a
     hot value on its right side, but the distinct collapses it before the shuffle.
     """
-    wanted = keys.select(F.col(key or on).alias(on)).distinct()
-    return df.join(wanted, on, "left_semi")
+    return df.join(_distinct_keys(keys, on, key), on, "left_semi")
+
+
+def semi_on_dimension(df: DataFrame, dim: DataFrame, on: str, key: str) -> DataFrame:
+    """As :func:`semi_on` for a fact table, whose values may be hot, and a dimension.
+
+    A dimension counted as small is broadcast, a large one meets the facts by
+    :func:`lookup_join`.
+    """
+    wanted = _distinct_keys(dim, on, key)
+    if is_small(wanted):
+        return df.join(F.broadcast(wanted), on, "left_semi")
+    return lookup_join(df, wanted, on, "left_semi")
+
+
+def _distinct_keys(keys: DataFrame, on: str, key: str | None) -> DataFrame:
+    return keys.select(F.col(key or on).alias(on)).distinct()
 
 
 def collect_parts(

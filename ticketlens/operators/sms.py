@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketlens.functions import digits_only, to_second
+from ticketlens.operators.skew import lookup_join
 from ticketlens.semantics import STOP_PATTERN, SUBSCRIBED, UNSUBSCRIBED
 
 
@@ -23,10 +24,9 @@ def enrich_message_email(messages: DataFrame, crm_contacts: DataFrame, wide: Dat
     by_wide = _email_by_number(
         wide, digits_only(F.col("phone")), F.col("email_address"), F.col("last_ordered_date"), "_wide_email"
     )
+    by_number = by_crm.join(by_wide, "mobile_number", "full")
     return (
-        messages.withColumn("mobile_number", number)
-        .join(by_crm, "mobile_number", "left")
-        .join(by_wide, "mobile_number", "left")
+        lookup_join(messages.withColumn("mobile_number", number), by_number, "mobile_number", "left")
         .withColumn("email", F.coalesce("email", "_crm_email", "_wide_email"))
         .drop("_crm_email", "_wide_email")
     )
