@@ -292,4 +292,7 @@ class TestTables:
 
     @once
     def processed(self) -> dict[str, DataFrame]:
-        return processed_tables(self.base(), OPTIONS)
+        used = BaseTables(
+            events=self.events(), shows=self.shows(), orders=self.orders(), orderlines=self.orderlines()
+        )
+        return processed_tables(used, OPTIONS)

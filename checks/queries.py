@@ -83,7 +83,7 @@ def _counts(t: TestTables) -> DataFrame:
 
 
 def _wide(t: TestTables) -> DataFrame:
-    return rebuild.wide_table(t.base(), t.processed(), AS_OF, OPTIONS)
+    return rebuild.wide_table(rebuild.BaseTables(contacts=t.contacts(), venues=t.venues()), t.processed(), AS_OF, OPTIONS)
 
 
 def _messages(t: TestTables) -> DataFrame:
@@ -159,7 +159,7 @@ def _upserted(t: TestTables, name: str, table: DataFrame, keys: list[str], schem
     """A third of the table changed and added again under new keys, applied twice."""
     root = _scratch(t, name)
     up.upsert_table(t.spark, root, table, keys, schema)
-    third = table.where(change.pop("where")).withColumns(change)
+    third = store.read_version(t.spark, root).where(change.pop("where")).withColumns(change)
     updates = third.unionByName(third.withColumn(new_key, F.concat(F.lit("new-"), F.col(new_key))))
     for _ in range(2):
         up.upsert_table(t.spark, root, updates, keys, schema)

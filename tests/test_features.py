@@ -68,8 +68,6 @@ def world(spark):
         shows=frame(shows, SHOWS),
         orders=frame(orders, ORDERS),
         orderlines=frame(lines, ORDERLINES),
-        messages=None,
-        crm_contacts=None,
     )
 
 

@@ -99,7 +99,7 @@ def customer_features(
     placed_orders = place_orders(orders, shows, events, venues, how="left")
     totals = line_totals(lines) if unique_order_numbers else order_number_totals(placed_orders, lines)
     named_orders = placed_orders.where(is_valid_email(F.col("email")))
-    facts = lookup_join(named_orders, totals, "order_number", "left")
+    facts = lookup_join(named_orders, totals, "order_number", "left", keys_from=orders)
     if unique_order_numbers:
         tickets = F.when(F.col("has_venue") == 1, F.col("n_lines"))
         facts = facts.withColumns(

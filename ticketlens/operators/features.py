@@ -87,7 +87,7 @@ def ticket_lead_stats(orders: DataFrame, shows: DataFrame, counts: DataFrame) ->
     """Average days from purchase to show and average tickets per order."""
     starts = shows.select(F.col("id").alias("show_id"), "start_date_formatted")
     counted = counts.where(F.col("tickets").isNotNull()).select("order_number", "tickets")
-    return _by_email(lookup_join(orders.join(starts, "show_id"), counted, "order_number")).agg(
+    return _by_email(lookup_join(orders.join(starts, "show_id"), counted, "order_number", keys_from=orders)).agg(
         F.avg(F.datediff("start_date_formatted", "purchase_date_formatted")).alias("avg_purchase_to_show_days"),
         (F.sum("tickets") / F.count(F.lit(1))).alias("avg_tickets_per_order"),
     )
@@ -107,7 +107,7 @@ def comp_lifetime(orders: DataFrame, shows: DataFrame, counts: DataFrame) -> Dat
     """Complimentary orders, tickets, tickets per order and the last such show day."""
     starts = shows.select(F.col("id").alias("show_id"), "start_date_formatted")
     counted = counts.where(F.col("comp_tickets").isNotNull()).select("order_number", "comp_tickets")
-    return _by_email(lookup_join(orders.join(starts, "show_id"), counted, "order_number")).agg(
+    return _by_email(lookup_join(orders.join(starts, "show_id"), counted, "order_number", keys_from=orders)).agg(
         F.max("start_date_formatted").alias("last_comp_show_date"),
         F.count(F.lit(1)).alias("total_lifetime_comp_orders"),
         F.sum("comp_tickets").alias("total_lifetime_comp_tickets"),

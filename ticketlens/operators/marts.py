@@ -106,7 +106,7 @@ def order_orphans(
     narrow = orders.select("id", "order_number", "show_id", "email")
     placed = place_orders(narrow, shows, events, venues, how="left")
     return (
-        lookup_join(placed, with_lines, "order_number", "left")
+        lookup_join(placed, with_lines, "order_number", "left", keys_from=orders)
         .select("id", "order_number", "email", missing.alias("missing"))
         .where(F.col("missing").isNotNull())
     )
@@ -127,7 +127,10 @@ def attended_events(
 ) -> DataFrame:
     """:func:`visits` of known contacts, one row per order."""
     known = contacts.select(F.col("email_address").alias("subscriber_key"))
-    return lookup_join(visits(orders, shows, events, venues), known, "subscriber_key")
+    emails = orders.select(F.col("email").alias("subscriber_key"))
+    return lookup_join(
+        visits(orders, shows, events, venues), known, "subscriber_key", keys_from=emails
+    )
 
 
 def ticket_counts(mart: DataFrame) -> DataFrame:

@@ -84,14 +84,17 @@ def hot_keys(df: DataFrame, key: str) -> list:
     return [entry["item"] for entry in row["top"] if entry["count"] > bound]
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def lookup_join(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", keys_from: DataFrame | None = None
+) -> DataFrame:
     """Join (inner, left or left_semi) with a side that has at most one row per key.
 
     Rows of hot keys, and unmatched NULL keys if they are many, stay where they are and
     meet the few right rows of those keys by broadcast; all other rows join as usual.
-    Every row takes exactly one of the two ways. Looks for hot keys first (one job).
+    Every row takes exactly one of the two ways. Looks for hot keys first (one job), in
+    ``keys_from`` where an earlier, cheaper form of ``left`` has the same key column.
     """
-    hot = hot_keys(left, key)
+    hot = hot_keys(left if keys_from is None else keys_from, key)
     if not hot:
         return left.join(right, key, how)
     values = [value for value in hot if value is not None]

@@ -23,14 +23,16 @@ from ticketlens.sources.tables import full_refresh, load_table
 
 @dataclass(frozen=True)
 class BaseTables:
-    contacts: DataFrame
-    venues: DataFrame
-    events: DataFrame
-    shows: DataFrame
-    orders: DataFrame
-    orderlines: DataFrame
-    messages: DataFrame
-    crm_contacts: DataFrame
+    """The base tables; those a job does not read may be left out."""
+
+    contacts: DataFrame | None = None
+    venues: DataFrame | None = None
+    events: DataFrame | None = None
+    shows: DataFrame | None = None
+    orders: DataFrame | None = None
+    orderlines: DataFrame | None = None
+    messages: DataFrame | None = None
+    crm_contacts: DataFrame | None = None
 
 
 @dataclass(frozen=True)
