@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 from ticketlens.operators import features as ft
 from ticketlens.operators import marts
 from ticketlens.operators import processed as pr
-from ticketlens.operators.customer360 import customer_360, customer_360_from_features
+from ticketlens.operators.customer360 import (
+    customer_360,
+    customer_360_from_features,
+    customer_features,
+    split_features,
+)
 from ticketlens.plans.rebuild import BaseTables, feature_tables, processed_tables
 from ticketlens.schemas import CONTACTS, EVENTS, ORDERLINES, ORDERS, SHOWS, VENUES
 
@@ -224,3 +229,32 @@ def test_clean_phones(table):
     kept = [r["p"] for r in pr.clean_phones(rows, "p", keep_missing=True).collect()]
     assert kept == ["12", "", None]
     assert [r["p"] for r in pr.clean_phones(rows, "p").collect()] == ["12", "", ""]
+
+
+def test_feature_tables_are_projections_of_one_aggregate(world):
+    """Apart from placeholder emails, which the one aggregate leaves out."""
+    p = processed_tables(world)
+    args = [p[f"{n}_processed"] for n in ("orders", "orderlines", "shows", "events")]
+    separate = feature_tables(world, p, marts.ticket_counts(marts.orders_mart(*args, world.venues)), AS_OF)
+    del separate["attended_event_dates"]
+    together = split_features(customer_features(*args, world.venues, AS_OF), world.contacts)
+    assert set(separate) == set(together)
+    for name, table in separate.items():
+        expected = {k: v for k, v in by_key(table).items() if k != "none"}
+        assert by_key(together[name]) == expected, name
+
+
+def test_rebuild_all(world, spark, scratch):
+    from ticketlens.plans.rebuild import rebuild_all
+    from ticketlens.schemas import CRM_CONTACTS, MESSAGES
+
+    sent = datetime(2018, 4, 1)
+    messages = spark.createDataFrame([("2", "k", "s", "c", "Stop", None, sent), ("9", "k", "s", "c", "hi", None, sent)], MESSAGES)
+    crm = spark.createDataFrame([("crm@x", "(9)", "Yes", sent)], CRM_CONTACTS)
+    full = BaseTables(**{**world.__dict__, "messages": messages, "crm_contacts": crm})
+    tables = rebuild_all(spark, full, scratch("rebuild"), AS_OF)
+    fused, _ = wide_both(world)
+    assert by_key(tables["contacts_mv"], "email_address") == by_key(fused, "email_address")
+    subscribers = {r["mobile_number"]: (r["email_address"], r["mobile_status"])
+                   for r in tables["contacts_mobile_mv"].collect()}
+    assert subscribers == {"2": ("tie@x", "Unsubscribed"), "9": ("crm@x", "Subscribed")}

@@ -189,5 +189,48 @@ def customer_360(
     features = customer_features(
         orders, lines, shows, events, venues, as_of, weekday_mode, count_mode, unique_order_numbers
     )
-    keyed = contacts.withColumn(ft.KEY, F.col("email_address"))
-    return keyed.join(features, ft.KEY, "left").select(*_wide_columns())
+    return with_features(contacts, features)
+
+
+def with_features(contacts: DataFrame, features: DataFrame) -> DataFrame:
+    """The wide table from :func:`customer_features`, one row per customer on both sides."""
+    return customer_360_from_features(contacts, [features])
+
+
+# Columns of each feature table, and the one that is set exactly where the table has a row.
+FEATURE_TABLES: dict[str, tuple[list[str], str | None]] = {
+    "avg_tickets_per_order": (["avg_purchase_to_show_days", "avg_tickets_per_order"], "avg_tickets_per_order"),
+    "per_paid_order": (
+        ["total_lifetime_paid_orders", "total_lifetime_paid_tickets", "avg_tickets_per_paid_order"],
+        "total_lifetime_paid_orders",
+    ),
+    "per_comp_order": (
+        [
+            "last_comp_show_date",
+            "total_lifetime_comp_orders",
+            "total_lifetime_comp_tickets",
+            "avg_tickets_per_comp_order",
+        ],
+        "total_lifetime_comp_orders",
+    ),
+    "weekday_attendence": (_WEEKDAYS, _WEEKDAYS[0]),
+    "last_360": (_RECENCY, None),
+    "special_shows": (
+        ["phone", "last_ordered_date", "count_shows_special", "count_shows_persents"],
+        "count_shows_special",
+    ),
+    "total_spend": (["total_revenue"], "total_revenue"),
+}
+# Tables that hold known contacts only.
+_OF_CONTACTS = ("avg_tickets_per_order", "per_paid_order", "per_comp_order")
+
+
+def split_features(features: DataFrame, contacts: DataFrame) -> dict[str, DataFrame]:
+    """The eight feature tables as projections of one :func:`customer_features` table."""
+    events = [ft.KEY, *_field_map()]
+    tables = {"fln_event_data": ft.for_all_contacts(features.select(*events), contacts)}
+    for name, (columns, present) in FEATURE_TABLES.items():
+        table = features if present is None else features.where(F.col(present).isNotNull())
+        table = table.select(ft.KEY, *columns)
+        tables[name] = ft.of_contacts(table, contacts) if name in _OF_CONTACTS else table
+    return tables

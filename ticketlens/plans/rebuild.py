@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ticketlens.operators import features as ft
 from ticketlens.operators import marts
 from ticketlens.operators import processed as pr
-from ticketlens.operators.customer360 import customer_360
+from ticketlens.operators.customer360 import customer_360, customer_features, split_features, with_features
 from ticketlens.operators.sms import enrich_message_email, sms_subscribers
 from ticketlens.semantics import (
     COMP_PATTERN,
@@ -35,6 +35,9 @@ class BaseTables:
     crm_contacts: DataFrame | None = None
 
 
+_PROCESSED = ("orders", "orderlines", "shows", "events")
+
+
 @dataclass(frozen=True)
 class Options:
     comp_pattern: str = COMP_PATTERN
@@ -63,9 +66,11 @@ def feature_tables(
     as_of: Moment,
     options: Options = Options(),
 ) -> dict[str, DataFrame]:
-    """The helper and the eight feature tables, each on its own."""
-    orders, shows, events = (processed[f"{name}_processed"] for name in ("orders", "shows", "events"))
-    lines = processed["orderlines_processed"]
+    """The helper and the eight feature tables, each computed on its own.
+
+    For one or two of them; :func:`rebuild_all` takes all from one aggregate.
+    """
+    orders, lines, shows, events = (processed[f"{name}_processed"] for name in _PROCESSED)
     contacts = tables.contacts
     visited = marts.visits(orders, shows, events, tables.venues)
     return {
@@ -104,9 +109,8 @@ def rebuild_all(
 ) -> dict[str, DataFrame]:
     """Write every derived table under ``root`` in dependency order; returns them read back.
 
-    The mart is written once and its ticket counts are read from it. The wide table
-    is computed from the processed tables in one aggregate, not from the feature
-    tables, which would lose their partitioning on the way through storage.
+    All customer features are one aggregate over one pass of the orders, written once;
+    the eight feature tables and the wide table are projections of it.
     """
     written: dict[str, DataFrame] = {}
 
@@ -126,10 +130,18 @@ def rebuild_all(
             tables.venues,
         ),
     )
-    counts = put("ticket_counts", marts.ticket_counts(mart))
-    for name, feature in feature_tables(tables, processed, counts, as_of, options).items():
+    put("ticket_counts", marts.ticket_counts(mart))
+    orders, lines, shows, events = (processed[f"{name}_processed"] for name in _PROCESSED)
+    put("attended_event_dates", marts.attended_events(tables.contacts, orders, shows, events, tables.venues))
+    features = put(
+        "customer_features",
+        customer_features(
+            orders, lines, shows, events, tables.venues, as_of, options.weekday_mode, options.count_mode
+        ),
+    )
+    for name, feature in split_features(features, tables.contacts).items():
         put(name, feature)
-    wide = put("contacts_mv", wide_table(tables, processed, as_of, options))
+    wide = put("contacts_mv", pr.clean_phones(with_features(tables.contacts, features), "phone", keep_missing=True))
     crm = put("ac_mobile_contacts", pr.clean_phones(tables.crm_contacts, "mobile_number"))
     messages = put("mobile_uploads", enrich_message_email(tables.messages, crm, wide))
     put("contacts_mobile_mv", sms_subscribers(messages, options.stop_pattern))
