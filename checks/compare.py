@@ -21,8 +21,9 @@ TABLES = (
 ).split()
 
 
-def local_session(cores: int = 8) -> SparkSession:
-    spark = (
+def local_session(cores: int = 8, **conf: str) -> SparkSession:
+    """A local session; further settings by name with ``__`` for dots."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ticketlens")
         .config("spark.ui.enabled", "false")
@@ -30,8 +31,10 @@ def local_session(cores: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for name, value in conf.items():
+        builder = builder.config(name.replace("__", "."), value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

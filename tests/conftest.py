@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from checks.compare import local_session
 
-    session = local_session(4)
+    # A few rows per table: planning stage by stage would cost more than running them.
+    session = local_session(4, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="2")
     yield session
     session.stop()
 

@@ -157,18 +157,23 @@ def test_special_events_take_the_newest_phone(world):
     assert stats["two@x"]["count_shows_special"] == 2
 
 
-def wide_both(world, **modes):
+def wide_fused(world, **modes):
+    p = processed_tables(world)
+    args = [p[f"{n}_processed"] for n in ("orders", "orderlines", "shows", "events")]
+    return customer_360(world.contacts, *args, world.venues, AS_OF, **modes)
+
+
+def wide_joined(world):
     p = processed_tables(world)
     args = [p[f"{n}_processed"] for n in ("orders", "orderlines", "shows", "events")]
-    fused = customer_360(world.contacts, *args, world.venues, AS_OF, **modes)
     mart = marts.orders_mart(*args, world.venues)
     tables = feature_tables(world, p, marts.ticket_counts(mart), AS_OF)
     del tables["attended_event_dates"]
-    return fused, customer_360_from_features(world.contacts, list(tables.values()))
+    return customer_360_from_features(world.contacts, list(tables.values()))
 
 
 def test_wide_table_equals_joined_features(world):
-    fused, joined = wide_both(world)
+    fused, joined = wide_fused(world), wide_joined(world)
     assert len(fused.columns) == 45
     assert by_key(fused, "email_address") == by_key(joined, "email_address")
     rows = by_key(fused, "email_address")
@@ -190,16 +195,15 @@ def test_wide_table_with_repeated_order_numbers(world, spark):
         [order("1", "tie@x", "s2", oid="o1b", pay="comp"), order("7", "mon@x", "s7", oid="o7b")], ORDERS
     )
     doubled = BaseTables(**{**world.__dict__, "orders": world.orders.unionByName(extra)})
-    fused, joined = wide_both(doubled)
+    fused, joined = wide_fused(doubled), wide_joined(doubled)
     assert by_key(fused, "email_address") == by_key(joined, "email_address")
     numbers = marts.duplicate_order_numbers(doubled.orders)
     assert sorted(r["order_number"] for r in numbers.collect()) == ["1", "7"]
 
 
 def test_unique_order_numbers_shortcut(world):
-    fused, _ = wide_both(world)
-    short, _ = wide_both(world, unique_order_numbers=True)
-    assert by_key(fused, "email_address") == by_key(short, "email_address")
+    short = wide_fused(world, unique_order_numbers=True)
+    assert by_key(wide_fused(world), "email_address") == by_key(short, "email_address")
 
 
 def test_orphans_and_mart(world):
@@ -253,8 +257,7 @@ def test_rebuild_all(world, spark, scratch):
     crm = spark.createDataFrame([("crm@x", "(9)", "Yes", sent)], CRM_CONTACTS)
     full = BaseTables(**{**world.__dict__, "messages": messages, "crm_contacts": crm})
     tables = rebuild_all(spark, full, scratch("rebuild"), AS_OF)
-    fused, _ = wide_both(world)
-    assert by_key(tables["contacts_mv"], "email_address") == by_key(fused, "email_address")
+    assert by_key(tables["contacts_mv"], "email_address") == by_key(wide_fused(world), "email_address")
     subscribers = {r["mobile_number"]: (r["email_address"], r["mobile_status"])
                    for r in tables["contacts_mobile_mv"].collect()}
     assert subscribers == {"2": ("tie@x", "Unsubscribed"), "9": ("crm@x", "Subscribed")}

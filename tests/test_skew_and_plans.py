@@ -147,6 +147,8 @@ def test_hot_join_keys_are_split_at_run_time(spark, table, scratch):
         stored[name] = store.load_table(spark, path)
     with settings(
         spark,
+        spark__sql__adaptive__enabled="true",
+        spark__sql__shuffle__partitions="4",
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="50KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
