@@ -172,6 +172,11 @@ def test_versions_hide_unfinished_writes(spark, table, scratch):
     assert sorted(r["a"] for r in tables.read_version(spark, root).collect()) == [1, 2]
     assert tables.write_version(table("a int", (3,)), root) == 2
     assert [r["a"] for r in tables.read_version(spark, root).collect()] == [3]
+    assert tables.expire_versions(spark, root, keep=2) == [0]
+    assert tables.expire_versions(spark, root, keep=2) == []
+    assert [r["a"] for r in tables.read_version(spark, root).collect()] == [3]
+    with pytest.raises(ValueError):
+        tables.expire_versions(spark, root, keep=0)
 
 
 def test_marks_never_move_back_and_stay_on_failure(spark, scratch):

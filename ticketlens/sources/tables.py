@@ -45,12 +45,16 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, whatever storage it is on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def _versions(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the complete versions: those whose job left its success marker."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    markers = files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")) or []
+    pattern, files = _hadoop_path(spark, f"{root}/version=*/_SUCCESS")
+    markers = files.globStatus(pattern) or []
     return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in markers)
 
 
@@ -79,3 +83,17 @@ def write_version(df: DataFrame, root: str) -> int:
     number = versions[-1] + 1 if versions else 0
     df.write.mode("overwrite").parquet(f"{root}/version={number}")
     return number
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` complete versions; returns the deleted numbers.
+
+    Keep as many as the longest-running reader needs.
+    """
+    if keep < 1:
+        raise ValueError("the newest version is always kept")
+    expired = _versions(spark, root)[:-keep]
+    for number in expired:
+        folder, files = _hadoop_path(spark, f"{root}/version={number}")
+        files.delete(folder, True)
+    return expired
