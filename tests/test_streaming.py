@@ -74,6 +74,11 @@ def test_webhooks(spark, tmp_path, scratch):
     # A replay from the start, as after a lost checkpoint, changes nothing.
     wh.stream_optin_webhooks(requests, root, f"{tmp_path}/c-again").awaitTermination()
     assert state() == expected
+    # Requests without a route do not rewrite the table.
+    versions = sorted(os.listdir(root))
+    land(landing, "2.json", [hook("other", "x%40x", "Yes", "2018-02-01T00:00:00")])
+    wh.stream_optin_webhooks(requests, root, f"{tmp_path}/c").awaitTermination()
+    assert sorted(os.listdir(root)) == versions
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark):

@@ -55,9 +55,13 @@ def upsert_table(
 def update_existing(
     target: DataFrame, updates: DataFrame, keys: list[str], newest_first: list[Column]
 ) -> DataFrame:
-    """As :func:`upsert`, but updates of unknown keys are dropped."""
-    known = target.select(*keys)
-    return upsert(target, updates.join(known, keys, "left_semi"), keys, newest_first)
+    """As :func:`upsert`, but updates of unknown keys are dropped.
+
+    The stored keys are first cut down to those with an update, so that a few updates
+    do not shuffle the keys of a large table.
+    """
+    known = join_on_keys(target.select(*keys), updates.select(*keys).distinct(), keys, "left_semi")
+    return upsert(target, join_on_keys(updates, known, keys, "left_semi"), keys, newest_first)
 
 
 # Keys of the tables that ingest keeps current.

@@ -62,8 +62,11 @@ def stream_optin_webhooks(requests: DataFrame, root: str, checkpoint: str) -> St
     """Apply arriving webhooks to the versioned CRM contact table."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        rows = webhook_rows(batch)
+        if rows.isEmpty():
+            return  # nothing for the table, so it is not rewritten
         contacts = read_version(batch.sparkSession, root, CRM_CONTACTS)
-        write_version(apply_webhooks(contacts, webhook_rows(batch)), root)
+        write_version(apply_webhooks(contacts, rows), root)
 
     return (
         requests.writeStream.option("checkpointLocation", checkpoint)
