@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import sys
 from collections.abc import Callable
@@ -9,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import lines, packing, quality, simhash
+from ticketlens.llm import bpe, chat, digests, lines, packing, quality, simhash, token_counts
 from ticketlens.llm.common import remainder
 
 
@@ -26,6 +28,72 @@ def op3_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), packing.count_words("text"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"})
+    told = _table(spark, sf_dir, "conversations").select("conv_id", rows.alias("payload"))
+    said = "</s>[INST] ok [/INST]"
+    record = {"messages": [{"role": "user", "content": said}, {"role": "assistant", "content": said}]}
+    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(json.dumps(record)).alias("payload"))
+    turns = chat.canonical_turns(told.union(extra), "conv_id")
+    return chat.digests(chat.format_turns(turns), "conv_id")
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    path = path or _tokenizer("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), path)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(spark, F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    count = token_counts.token_count(spark, "text", path or _tokenizer("byte_bpe_50k.json"))
+    counted = docs.select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), count.alias("n_tokens")
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def _edited(triples: list[tuple]) -> list[list]:
+    """Digests of each text, of the text with its second half replaced, and of the next text."""
+    kept = [len(text) - len(text) // 2 for _, text, _ in triples]
+    edited = [(text[:k] + after[: len(text) - k]).encode() for (_, text, after), k in zip(triples, kept)]
+    own = [digests.digest(text.encode()) for _, text, _ in triples]
+    changed = [digests.digest(text) for text in edited]
+    following = [digests.digest(after.encode()) for *_, after in triples[-1:]]
+    following = [*own[1:], *following] if all(a[2] == b[1] for a, b in zip(triples, triples[1:])) else [
+        digests.digest(after.encode()) for *_, after in triples
+    ]
+    return [
+        [id_ for id_, *_ in triples],
+        [len(text) for _, text, _ in triples],
+        [hashlib.sha256(text).hexdigest() for text in edited],
+        own,
+        changed,
+        digests.likenesses(own, changed).tolist(),
+        digests.likenesses(own, following).tolist(),
+    ]
+
+
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    schema = (
+        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, "
+        "edited_fingerprint string, near_edited double, near_next double"
+    )
+    return digests.map_with_next(docs, _edited, schema)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
     return done.select(
