@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import bpe, chat, digests, lines, packing, quality, simhash, token_counts
+from ticketlens.llm import bpe, chat, digests, lines, packing, quality, simhash, token_counts, vectors
 from ticketlens.llm.common import remainder
 
 
@@ -24,6 +24,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op3_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), packing.count_words("text"))
 
