@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import bpe, chat, digests, lines, packing, quality, simhash, token_counts, vectors
+from ticketlens.llm import bpe, chat, digests, lines, packing, quality, simhash, suffix_tree, token_counts, vectors
 from ticketlens.llm.common import remainder
 
 
@@ -43,6 +43,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns), "conv_id")
 
 
+def op5_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(_table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 def _tokenizer(name: str) -> str:
     import public_tokenizers
 
