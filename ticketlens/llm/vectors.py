@@ -305,7 +305,8 @@ def near_duplicates(
     links = store(loaded.mapInArrow(run, "node long, n long, root long"), "links")
     counts = links.groupBy("node").agg(F.sum("n").alias("n_links"))
     roots = store(components(links.select("node", "root")), "roots")
-    lowest = nodes.join(roots, "node").groupBy("root").agg(F.min("rep").alias("lowest"))
+    # Kept as a table: a join with an aggregate could not split the rows of a large component.
+    lowest = store(nodes.join(roots, "node").groupBy("root").agg(F.min("rep").alias("lowest")), "lowest")
     named = store(
         nodes.select("h1", "h2", "node", "n", "rep")
         .join(counts, "node", "left")
@@ -314,7 +315,7 @@ def near_duplicates(
         .select("h1", "h2", (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("lowest", "rep").alias("c")),
         "named",
     )
-    discard(nodes, dealt, blocks, links, roots)
+    discard(nodes, dealt, blocks, links, roots, lowest)
     return keys.join(named, ["h1", "h2"], "left").select(
         F.col("id").alias(id_col),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
