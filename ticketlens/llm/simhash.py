@@ -159,13 +159,13 @@ def near_duplicates(
     groups = store(prints.groupBy("fp").agg(F.min("id").alias("rep")), "groups")
     edges = links(groups.select("fp"), max_bits, bucket)
     roots = store(components(edges).select(F.col("node").alias("fp"), "root"), "roots")
-    linked = groups.join(roots, "fp")
-    lowest = linked.groupBy("root").agg(F.min("rep").alias("lowest"))
+    linked = store(groups.join(roots, "fp", "left"), "linked")
+    # Tables of their own: a join with an aggregate could not split the rows of a large component.
+    lowest = store(linked.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("lowest")), "lowest")
     named = store(
-        groups.join(roots, "fp", "left")
-        .join(lowest, "root", "left")
+        linked.join(lowest, "root", "left")
         .select("fp", F.coalesce("lowest", "rep").alias("component_id")),
         "named",
     )
-    discard(groups, edges, roots)
+    discard(groups, edges, roots, linked, lowest)
     return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
