@@ -141,6 +141,11 @@ class _Found:
         return label_components(len(self.counts), np.concatenate([none, *self.a]), np.concatenate([none, *self.b]))
 
 
+def _radius_class(radius: np.ndarray) -> np.ndarray:
+    """0 for single vectors, then one class for every halving of the radius."""
+    return np.where(radius > 0, np.ceil(np.log2(np.maximum(radius, _LEAF / 4))) + 8, 0)
+
+
 def traverse(left: bytes, right: bytes | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(nodes, link counts, star centres) of the linked rows of two blocks, or of one with itself."""
     ids_a, w_a, x, tree_a = pickle.loads(left)
@@ -171,32 +176,71 @@ def traverse(left: bytes, right: bytes | None, cosine: float) -> tuple[np.ndarra
         p, q = np.nonzero(linked)
         found.edges(p + s_a[i], q + s_b[j] + shift)
 
-    todo = [(0, 0)] if len(ids_a) and len(ids_b) else []
+    x32, y32 = x.astype(np.float32), y.astype(np.float32)
+    class_a, class_b = _radius_class(r_a), _radius_class(r_b)
+
+    def near(p: np.ndarray, q: np.ndarray, own: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of nodes that are not pruned, with the distance of their centres.
+
+        Nodes of one radius class share a bound, which one comparison of single-precision products
+        (with room for their rounding) applies; the survivors are measured in double precision.
+        """
+        us, vs = [], []
+        for k in np.unique(class_a[p]):
+            some = p[class_a[p] == k]
+            for m in np.unique(class_b[q]):
+                other = q[class_b[q] == m]
+                reach = tau + r_a[some].max() + r_b[other].max()
+                for at in range(0, len(some), 1024):
+                    products = x32[s_a[some[at : at + 1024]]] @ y32[s_b[other]].T
+                    hits = np.flatnonzero(products >= 1 - reach * reach / 2 - 1e-5)
+                    us.append(some[at + hits // len(other)])
+                    vs.append(other[hits % len(other)])
+        u, v = np.concatenate(us), np.concatenate(vs)
+        if own:
+            u, v = u[u <= v], v[u <= v]
+        cosines = np.concatenate(
+            [np.einsum("ij,ij->i", x[s_a[u[i : i + 65536]]], y[s_b[v[i : i + 65536]]]) for i in range(0, len(u), 65536)] or [np.empty(0)]
+        )
+        apart = np.sqrt(np.maximum(0, 2 - 2 * cosines))
+        stays = apart <= tau + _SLACK + r_a[u] + r_b[v]
+        return u[stays], v[stays], apart[stays]
+
+    def children(first: np.ndarray, number: np.ndarray, node: int) -> np.ndarray:
+        return np.arange(first[node], first[node] + number[node])
+
+    root = np.zeros(1, np.int64)
+    todo = [(root, root, same)] if len(ids_a) and len(ids_b) else []
     while todo:
-        i, j = todo.pop()
-        own = same and i == j
-        if own and (e_a[i] - s_a[i] == 1 or 2 * r_a[i] <= tau - _SLACK):
-            whole(i, i)
-            continue
-        if not k_a[i] and not k_b[j]:
+        u, v, apart = near(*todo.pop())
+        itself = (u == v) if same else np.zeros(len(u), bool)
+        for node in u[itself].tolist():
+            if e_a[node] - s_a[node] == 1 or 2 * r_a[node] <= tau - _SLACK:
+                whole(node, node)
+            elif not k_a[node]:
+                leaves(node, node)
+            else:
+                todo.append((children(c_a, k_a, node), children(c_a, k_a, node), True))
+        u, v, apart = u[~itself], v[~itself], apart[~itself]
+        single = (e_a[u] - s_a[u] == 1) & (e_b[v] - s_b[v] == 1)
+        one, other = s_a[u[single]], s_b[v[single]]
+        linked = np.einsum("ij,ij->i", x[one], y[other]) >= cosine
+        one, other = one[linked], other[linked]
+        np.add.at(found.counts, one, w_b[other])
+        np.add.at(found.counts, other + shift, w_a[one])
+        found.edges(one, other + shift)
+        u, v, apart = u[~single], v[~single], apart[~single]
+        sure = apart + r_a[u] + r_b[v] <= tau - _SLACK
+        for i, j in zip(u[sure].tolist(), v[sure].tolist()):
+            whole(i, j)
+        u, v = u[~sure], v[~sure]
+        left, right_ = (k_a[u] > 0), (k_a[u] == 0) & (k_b[v] > 0)
+        for i, j in zip(u[~left & ~right_].tolist(), v[~left & ~right_].tolist()):
             leaves(i, j)
-            continue
-        a = np.arange(c_a[i], c_a[i] + k_a[i]) if k_a[i] else np.array([i])
-        b = np.arange(c_b[j], c_b[j] + k_b[j]) if k_b[j] else np.array([j])
-        for at in range(0, len(a), 1024):
-            some = a[at : at + 1024]
-            near = x[s_a[some]] @ y[s_b[b]].T
-            reach = (tau + _SLACK + r_a[some])[:, None] + r_b[b]
-            p, q = np.nonzero(near >= 1 - reach * reach / 2)
-            if own:
-                p, q = p[p + at <= q], q[p + at <= q]
-            apart = np.sqrt(np.maximum(0, 2 - 2 * near[p, q]))
-            sure = apart + r_a[some[p]] + r_b[b[q]] <= tau - _SLACK
-            for u, v, all_linked in zip(some[p].tolist(), b[q].tolist(), sure.tolist()):
-                if all_linked and not (same and u == v):
-                    whole(u, v)
-                else:
-                    todo.append((u, v))
+        for node in np.unique(u[left]).tolist():
+            todo.append((children(c_a, k_a, node), v[left & (u == node)], False))
+        for node in np.unique(v[right_]).tolist():
+            todo.append((u[right_ & (v == node)], children(c_b, k_b, node), False))
     roots, linked = found.roots(), np.flatnonzero(found.counts)
     ids = ids_a if same else np.concatenate([ids_a, ids_b])
     return ids[linked], found.counts[linked], ids[roots[linked]]
