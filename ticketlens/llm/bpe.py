@@ -13,6 +13,7 @@ raise; repeated rows and null ids of rows are encoded like any other, one output
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from ticketlens.llm.merges import _PRE, Merger, Merges, from_ranks, pre_tokens
 
 CHUNK = 1 << 15
 OVERLAP = 1 << 10
+SOME = 256
 # A match that ends this many characters before the end of a chunk does not depend on what follows.
 _SURE = 3
 
@@ -42,9 +44,13 @@ def encode(
     def whole(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merger = Merger(Merges(*shared.value))
         for array in arrays:
-            cut = [_PRE.findall(t.as_py()) for t in array]
-            known = merger.symbols([p for pieces in cut for p in pieces])
-            yield pa.array([[i for p in pieces for i in known[p]] for pieces in cut], pa.list_(pa.int32()))
+            parts = []
+            for at in range(0, len(array), SOME):  # few texts at a time keep the worker small
+                cut = [_PRE.findall(t.as_py()) for t in array[at : at + SOME]]
+                known = merger.symbols([p for pieces in cut for p in pieces])
+                ids = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
+                parts.append(pa.array(ids, pa.list_(pa.int32())))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -82,7 +82,7 @@ class Merger:
             self._slots[at[free]] = left[free]
             lost = self._slots[at] != left
             left, at = left[lost], (at[lost] + 1) & self._mask
-        self._known: dict[str, np.ndarray] = {}
+        self._known: dict[str, tuple[int, ...]] = {}
 
     def _hash(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
@@ -179,14 +179,14 @@ class Merger:
                 offer(before[i])
         return np.array([s for s, ok in zip(sym, alive) if ok], np.int32)
 
-    def symbols(self, pieces: list[str]) -> dict[str, list[int]]:
+    def symbols(self, pieces: list[str]) -> dict[str, tuple[int, ...]]:
         """Symbols of every piece; the answer holds at least the pieces asked for."""
         if len(self._known) > CACHE:
             self._known = {}
         known = self._known
         new = list({p for p in pieces if p not in known})
         for p, ids in zip(new, self.merge([p.encode() for p in new])):
-            known[p] = ids.tolist()
+            known[p] = tuple(ids.tolist())  # tuples of numbers do not slow the garbage collector
         return known
 
 
