@@ -20,7 +20,7 @@ component; labels and other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +146,12 @@ def _radius_class(radius: np.ndarray) -> np.ndarray:
     return np.where(radius > 0, np.ceil(np.log2(np.maximum(radius, _LEAF / 4))) + 8, 0)
 
 
+def _runs(classes: np.ndarray) -> list[np.ndarray]:
+    """Positions of each class."""
+    order = np.argsort(classes, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(classes[order])) + 1)
+
+
 def traverse(left: bytes, right: bytes | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(nodes, link counts, star centres) of the linked rows of two blocks, or of one with itself."""
     ids_a, w_a, x, tree_a = pickle.loads(left)
@@ -179,26 +185,25 @@ def traverse(left: bytes, right: bytes | None, cosine: float) -> tuple[np.ndarra
     x32, y32 = x.astype(np.float32), y.astype(np.float32)
     class_a, class_b = _radius_class(r_a), _radius_class(r_b)
 
-    def near(p: np.ndarray, q: np.ndarray, own: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pairs of nodes that are not pruned, with the distance of their centres.
+    def near(p: np.ndarray, q: np.ndarray, wanted: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Wanted pairs of nodes that are not pruned, with the distance of their centres.
 
         Nodes of one radius class share a bound, which one comparison of single-precision products
         (with room for their rounding) applies; the survivors are measured in double precision.
         """
         us, vs = [], []
-        for k in np.unique(class_a[p]):
-            some = p[class_a[p] == k]
-            for m in np.unique(class_b[q]):
-                other = q[class_b[q] == m]
-                reach = tau + r_a[some].max() + r_b[other].max()
+        for some in _runs(class_a[p]):
+            for other in _runs(class_b[q]):
+                reach = tau + r_a[p[some]].max() + r_b[q[other]].max()
+                bound = np.float32(1 - reach * reach / 2 - 1e-5)
+                right_side = y32[s_b[q[other]]].T
                 for at in range(0, len(some), 1024):
-                    products = x32[s_a[some[at : at + 1024]]] @ y32[s_b[other]].T
-                    hits = np.flatnonzero(products >= 1 - reach * reach / 2 - 1e-5)
-                    us.append(some[at + hits // len(other)])
-                    vs.append(other[hits % len(other)])
+                    hits = np.flatnonzero(x32[s_a[p[some[at : at + 1024]]]] @ right_side >= bound)
+                    i, j = some[at + hits // len(other)], other[hits % len(other)]
+                    asked = wanted(i, j)
+                    us.append(p[i[asked]])
+                    vs.append(q[j[asked]])
         u, v = np.concatenate(us), np.concatenate(vs)
-        if own:
-            u, v = u[u <= v], v[u <= v]
         cosines = np.concatenate(
             [np.einsum("ij,ij->i", x[s_a[u[i : i + 65536]]], y[s_b[v[i : i + 65536]]]) for i in range(0, len(u), 65536)] or [np.empty(0)]
         )
@@ -206,21 +211,41 @@ def traverse(left: bytes, right: bytes | None, cosine: float) -> tuple[np.ndarra
         stays = apart <= tau + _SLACK + r_a[u] + r_b[v]
         return u[stays], v[stays], apart[stays]
 
-    def children(first: np.ndarray, number: np.ndarray, node: int) -> np.ndarray:
-        return np.arange(first[node], first[node] + number[node])
+    def children(first: np.ndarray, number: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The children of all nodes, and the position of each one's parent among the nodes."""
+        n = number[nodes]
+        return np.repeat(first[nodes] - np.cumsum(n) + n, n) + np.arange(n.sum()), np.repeat(np.arange(len(nodes)), n)
+
+    def below(nodes: np.ndarray) -> tuple:
+        """All pairs of children of one parent."""
+        kids, parent = children(c_a, k_a, nodes)
+        return kids, kids, lambda i, j: (parent[i] == parent[j]) & (i <= j)
+
+    def across(u: np.ndarray, v: np.ndarray, first: bool) -> tuple:
+        """Children of the nodes of one side with the nodes that their parents are paired with."""
+        (rows, i), (cols, j) = np.unique(u, return_inverse=True), np.unique(v, return_inverse=True)
+        paired = np.zeros((len(rows), len(cols)), bool)
+        paired[i, j] = True
+        kids, parent = children(c_a, k_a, rows) if first else children(c_b, k_b, cols)
+        if first:
+            return kids, cols, lambda i, j: paired[parent[i], j]
+        return rows, kids, lambda i, j: paired[i, parent[j]]
 
     root = np.zeros(1, np.int64)
-    todo = [(root, root, same)] if len(ids_a) and len(ids_b) else []
+    todo = [(root, root, lambda i, j: i <= j)] if len(ids_a) and len(ids_b) else []
     while todo:
         u, v, apart = near(*todo.pop())
         itself = (u == v) if same else np.zeros(len(u), bool)
-        for node in u[itself].tolist():
-            if e_a[node] - s_a[node] == 1 or 2 * r_a[node] <= tau - _SLACK:
-                whole(node, node)
-            elif not k_a[node]:
-                leaves(node, node)
-            else:
-                todo.append((children(c_a, k_a, node), children(c_a, k_a, node), True))
+        own = u[itself]
+        own = own[e_a[own] - s_a[own] > 1]  # a single vector has no other
+        close = 2 * r_a[own] <= tau - _SLACK
+        for node in own[close].tolist():
+            whole(node, node)
+        own = own[~close]
+        for node in own[k_a[own] == 0].tolist():
+            leaves(node, node)
+        if (k_a[own] > 0).any():
+            todo.append(below(own[k_a[own] > 0]))
         u, v, apart = u[~itself], v[~itself], apart[~itself]
         single = (e_a[u] - s_a[u] == 1) & (e_b[v] - s_b[v] == 1)
         one, other = s_a[u[single]], s_b[v[single]]
@@ -234,13 +259,15 @@ def traverse(left: bytes, right: bytes | None, cosine: float) -> tuple[np.ndarra
         for i, j in zip(u[sure].tolist(), v[sure].tolist()):
             whole(i, j)
         u, v = u[~sure], v[~sure]
-        left, right_ = (k_a[u] > 0), (k_a[u] == 0) & (k_b[v] > 0)
+        # The wider node of a pair goes down first, so that the other meets all its children in one product.
+        left = (k_a[u] > 0) & ((k_b[v] == 0) | (r_a[u] >= r_b[v]))
+        right_ = (k_b[v] > 0) & ~left
         for i, j in zip(u[~left & ~right_].tolist(), v[~left & ~right_].tolist()):
             leaves(i, j)
-        for node in np.unique(u[left]).tolist():
-            todo.append((children(c_a, k_a, node), v[left & (u == node)], False))
-        for node in np.unique(v[right_]).tolist():
-            todo.append((u[right_ & (v == node)], children(c_b, k_b, node), False))
+        if left.any():
+            todo.append(across(u[left], v[left], True))
+        if right_.any():
+            todo.append(across(u[right_], v[right_], False))
     roots, linked = found.roots(), np.flatnonzero(found.counts)
     ids = ids_a if same else np.concatenate([ids_a, ids_b])
     return ids[linked], found.counts[linked], ids[roots[linked]]
