@@ -88,7 +88,7 @@ class TestTables:
 
     @once
     def events(self) -> DataFrame:
-        return self.raw("part").where("p_partkey < 100").selectExpr(
+        return self.raw("part").selectExpr(
             "cast(p_partkey AS string) AS id",
             "cast(p_partkey % 25 AS string) AS venue_id",
             "concat(p_name, ' ', p_type) AS name",
@@ -99,7 +99,9 @@ class TestTables:
     def shows(self) -> DataFrame:
         return self.raw("part").selectExpr(
             "cast(p_partkey AS string) AS id",
-            "cast(p_partkey % 100 AS string) AS event_id",
+            # Four shows an event; the events of some shows are unknown.
+            "cast(CASE WHEN p_partkey % 40 = 3 THEN -p_partkey ELSE p_partkey - p_partkey % 4 + 1 END AS string)"
+            " AS event_id",
             "timestamp_ntz'1995-01-01 19:30:00' + make_dt_interval(cast((p_partkey * 37) % 2500 AS int))"
             " AS start_date_time",
             "CASE WHEN p_size % 2 = 0 THEN 'True' ELSE 'False' END AS sold_out",
@@ -143,14 +145,17 @@ class TestTables:
 
     @once
     def messages(self) -> DataFrame:
+        """Numbers as people write them, some missing; emails and campaigns in mixed case."""
+        number = "lpad(cast(user_id AS string), 9, '0')"
         return self.raw("events").selectExpr(
-            "lpad(cast(user_id AS string), 9, '0') AS mobile_number",
+            f"CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN 'unknown' WHEN event_id % 7 = 0"
+            f" THEN concat('+(', substr({number}, 1, 3), ') ', substr({number}, 4)) ELSE {number} END AS mobile_number",
             "'JOIN' AS keyword",
             "cast(event_id % 1000 AS string) AS security_code",
-            "event_type AS campaign",
+            "CASE WHEN event_id % 4 = 0 THEN upper(event_type) ELSE event_type END AS campaign",
             "CASE WHEN event_type = 'error' THEN 'please Stop' ELSE event_type END AS body",
-            "CASE WHEN event_id % 50 = 0 AND user_id % 3 = 0"
-            " THEN concat('u', user_id, '@sms.example') END AS email",
+            "CASE WHEN event_id % 50 = 0 AND user_id % 3 = 0 THEN concat(CASE WHEN event_id % 100 = 0 THEN ' U'"
+            " ELSE 'u' END, user_id, '@Sms.example') WHEN event_id % 50 = 1 THEN 'None' END AS email",
             "ts AS timestamp",
         )
 

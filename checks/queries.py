@@ -603,7 +603,7 @@ def group_order_lines(t: TestTables) -> DataFrame:
 
 @query
 def tag_sets(t: TestTables) -> DataFrame:
-    return tags.tag_sets(_daily(t)).select("email", F.array_join("tags", ",").alias("tags"))
+    return tags.tag_sets(_daily(t))
 
 
 @query
@@ -618,9 +618,7 @@ def push_report(t: TestTables) -> DataFrame:
 
 @query
 def push_report_keys(t: TestTables) -> DataFrame:
-    return quality.push_report_keys(_results(t)).select(
-        "venue_id", "entity", "outcome", F.array_join("failed_keys", ",").alias("failed_keys")
-    )
+    return quality.push_report_keys(_results(t))
 
 
 # --- windows and sets -----------------------------------------------------------------
@@ -827,9 +825,7 @@ def order_payloads(t: TestTables) -> DataFrame:
         "shippingMethod:string,totalPrice:string,connectionid:int,customerid:bigint,"
         f"orderProducts:array<{product}>>>",
     )["ecomOrder"]
-    cents = F.aggregate(
-        "doc.orderProducts", F.lit(0).cast("bigint"), lambda total, row: total + row["price"] * row["quantity"]
-    )
+    fields = lambda row: F.concat_ws("|", row["name"], row["price"], row["quantity"], row["category"])
     return (
         payloads.order_payloads(_pushed(t), numeric=True)
         .select("action", doc.alias("doc"))
@@ -844,8 +840,7 @@ def order_payloads(t: TestTables) -> DataFrame:
             F.col("doc.customerid").alias("customer_id"),
             "action",
             F.size("doc.orderProducts").alias("products"),
-            F.array_min(F.transform("doc.orderProducts", lambda row: row["name"])).alias("low_name"),
-            cents.alias("price_sum"),
+            F.array_join(F.transform("doc.orderProducts", fields), ",").alias("product_list"),
         )
     )
 

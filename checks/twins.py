@@ -56,6 +56,8 @@ def _pick(name: str, bound: str, extreme: str) -> str:
     )
 
 
+_EMAIL = "CASE WHEN lower(trim(email)) NOT IN ('', 'none') THEN lower(trim(email)) END"
+
 _CTES: dict[str, str] = {
     # The given tables as ticketing tables.
     "t_contacts": """SELECT 'c' || c_custkey || '@example.com' AS email_address, c_name AS name,
@@ -64,8 +66,8 @@ _CTES: dict[str, str] = {
     "t_venues": """SELECT n_nationkey::VARCHAR AS id, n_name AS name,
         CASE WHEN n_nationkey % 7 <> 0 THEN (100 + n_nationkey)::VARCHAR END AS insider_crm_id FROM nation""",
     "t_events": """SELECT p_partkey::VARCHAR AS id, (p_partkey % 25)::VARCHAR AS venue_id,
-        p_name || ' ' || p_type AS name, p_brand AS logo_url FROM part WHERE p_partkey < 100""",
-    "t_shows": """SELECT p_partkey::VARCHAR AS id, (p_partkey % 100)::VARCHAR AS event_id,
+        p_name || ' ' || p_type AS name, p_brand AS logo_url FROM part""",
+    "t_shows": """SELECT p_partkey::VARCHAR AS id, (CASE WHEN p_partkey % 40 = 3 THEN -p_partkey ELSE p_partkey - p_partkey % 4 + 1 END)::VARCHAR AS event_id,
         TIMESTAMP '1995-01-01 19:30:00' + to_days(((p_partkey * 37) % 2500)::INT) AS start_date_time,
         CASE WHEN p_size % 2 = 0 THEN 'True' ELSE 'False' END AS sold_out FROM part""",
     "t_orders": """SELECT o_orderkey::VARCHAR AS id, show_key::VARCHAR AS show_id,
@@ -82,11 +84,17 @@ _CTES: dict[str, str] = {
     "t_lines": """SELECT l_orderkey || '-' || l_linenumber AS id, l_orderkey::VARCHAR AS order_number,
         'Tier ' || l_returnflag AS ticket_name, round(l_extendedprice * 100)::BIGINT AS ticket_price,
         l_linestatus AS printed, NULL::VARCHAR AS promo_code_id, l_returnflag AS checked_in FROM lineitem""",
-    "t_messages": """SELECT lpad(user_id::VARCHAR, 9, '0') AS mobile_number, 'JOIN' AS keyword,
-        (event_id % 1000)::VARCHAR AS security_code, event_type AS campaign,
+    "t_messages": """SELECT CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN 'unknown'
+        WHEN event_id % 7 = 0 THEN '+(' || lpad(user_id::VARCHAR, 9, '0')[1:3] || ') '
+            || lpad(user_id::VARCHAR, 9, '0')[4:] ELSE lpad(user_id::VARCHAR, 9, '0') END AS mobile_number,
+        'JOIN' AS keyword, (event_id % 1000)::VARCHAR AS security_code,
+        CASE WHEN event_id % 4 = 0 THEN upper(event_type) ELSE event_type END AS campaign,
         CASE WHEN event_type = 'error' THEN 'please Stop' ELSE event_type END AS body,
-        CASE WHEN event_id % 50 = 0 AND user_id % 3 = 0 THEN 'u' || user_id || '@sms.example' END AS email,
+        CASE WHEN event_id % 50 = 0 AND user_id % 3 = 0 THEN CASE WHEN event_id % 100 = 0 THEN ' U' ELSE 'u' END
+            || user_id || '@Sms.example' WHEN event_id % 50 = 1 THEN 'None' END AS email,
         ts AS stamp FROM events""",
+    "c_messages": f"""SELECT nullif({_digits('mobile_number')}, '') AS mobile_number, keyword, security_code, campaign,
+        body, {_EMAIL} AS email, stamp FROM t_messages""",
     "t_crm": """SELECT 'c' || c_custkey || '@example.com' AS email,
         CASE WHEN c_custkey % 2 = 0 THEN '+' || lpad(c_custkey::VARCHAR, 9, '0') END AS mobile_number,
         CASE c_custkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'No' END AS optin_status,
@@ -196,7 +204,7 @@ _CTES: dict[str, str] = {
         WHERE {_digits('mobile_number')} <> '' GROUP BY 1""",
     "wide_by_number": """SELECT phone AS number, min(email_address) AS email FROM wide WHERE phone <> '' GROUP BY 1""",
     "enriched": """SELECT m.mobile_number, keyword, security_code, campaign, body,
-        coalesce(m.email, a.email, w.email) AS email, stamp FROM t_messages m
+        coalesce(m.email, a.email, w.email) AS email, stamp FROM c_messages m
         LEFT JOIN crm_by_number a ON a.number = m.mobile_number
         LEFT JOIN wide_by_number w ON w.number = m.mobile_number""",
     "subs": """SELECT mobile_number,
@@ -204,7 +212,7 @@ _CTES: dict[str, str] = {
             ELSE 'Subscribed' END AS mobile_status,
         max((stamp, email)) FILTER (email IS NOT NULL) AS pick,
         date_trunc('second', min(stamp)) AS join_date, date_trunc('second', max(stamp)) AS last_message_date
-        FROM enriched GROUP BY 1""",
+        FROM enriched WHERE mobile_number IS NOT NULL GROUP BY 1""",
     "subscribers": """SELECT mobile_number, mobile_status, pick[2] AS email_address, join_date, last_message_date
         FROM subs""",
     "conflicts": """SELECT email_address, mobile_number, mobile_status, last_message_date AS mobile_date,
@@ -218,12 +226,12 @@ _CTES: dict[str, str] = {
         CASE WHEN mobile_status = 'Subscribed' THEN 'Yes' ELSE 'No' END AS sms FROM conflicts))
         WHERE mobile_optin IS NOT NULL""",
     "backlog": """SELECT DISTINCT s.email_address AS email, t.tag FROM subscribers s
-        JOIN t_messages m ON m.mobile_number = s.mobile_number JOIN t_tag_map t ON t.campaign = m.campaign
+        JOIN c_messages m ON m.mobile_number = s.mobile_number JOIN t_tag_map t ON lower(t.campaign) = lower(m.campaign)
         WHERE s.email_address IS NOT NULL AND t.tag NOT ILIKE 'IGNORE%'""",
     "daily": f"""SELECT DISTINCT s.email_address AS email,
         CASE WHEN t.tag IS NULL OR t.tag IN ('', 'None') THEN m.campaign ELSE t.tag END AS tag
-        FROM subscribers s JOIN t_messages m ON m.mobile_number = s.mobile_number
-        LEFT JOIN t_tag_map t ON t.campaign = m.campaign WHERE s.email_address IS NOT NULL
+        FROM subscribers s JOIN c_messages m ON m.mobile_number = s.mobile_number
+        LEFT JOIN t_tag_map t ON lower(t.campaign) = lower(m.campaign) WHERE s.email_address IS NOT NULL
         AND s.last_message_date > TIMESTAMP '{MESSAGES_MARK}' AND s.last_message_date <= TIMESTAMP '{MESSAGES_AS_OF}'""",
     # Pushes.
     "changed": f"""SELECT * FROM mart WHERE sys_entry_date > TIMESTAMP '{MARK}'
@@ -415,11 +423,11 @@ TWINS: dict[str, str] = {
         sum(orderproduct_price)::BIGINT AS line_total,
         string_agg(unique_id || ':' || orderproduct_price, ',' ORDER BY unique_id, orderproduct_name,
         orderproduct_price) AS lines FROM changed GROUP BY 1, 2, 3""",
-    "tag_sets": "SELECT email, string_agg(tag, ',' ORDER BY tag) AS tags FROM daily GROUP BY 1",
+    "tag_sets": "SELECT DISTINCT email, tag FROM daily",
     "all_tags": "SELECT DISTINCT tag FROM daily",
     "push_report": """SELECT venue_id, 'order' AS entity, outcome, count(*) AS n FROM t_responses GROUP BY 1, 3""",
-    "push_report_keys": """SELECT venue_id, 'order' AS entity, outcome, string_agg(key, ',' ORDER BY key) AS failed_keys
-        FROM t_responses WHERE outcome <> 'success' GROUP BY 1, 3""",
+    "push_report_keys": """SELECT venue_id, 'order' AS entity, outcome, key FROM t_responses
+        WHERE outcome <> 'success'""",
     # Windows and sets
     "pick_row": """SELECT email, id, purchase_date::VARCHAR AS purchase_date FROM (SELECT *, row_number() OVER
         (PARTITION BY email ORDER BY purchase_date DESC, id) AS r FROM t_orders) WHERE r <= 3""",
@@ -468,8 +476,9 @@ TWINS: dict[str, str] = {
     "order_payloads": """SELECT p.externalid, p.email, p.orderNumber, p.orderDate::VARCHAR AS order_date,
         p.shippingMethod AS shipping_method, p.totalPrice::VARCHAR AS total_price, connection::INT AS connection,
         crm_customer_id::BIGINT AS customer_id, action, count(*)::INT AS products,
-        min(orderproduct_category || ' - ' || event_name || ' - ' || orderproduct_name) AS low_name,
-        sum(orderproduct_price)::BIGINT AS price_sum FROM pushed p JOIN changed c
+        string_agg(orderproduct_category || ' - ' || event_name || ' - ' || orderproduct_name || '|' ||
+        orderproduct_price || '|1|' || orderproduct_name, ',' ORDER BY unique_id, orderproduct_category, event_name,
+        orderproduct_name, orderproduct_price) AS product_list FROM pushed p JOIN changed c
         ON c.orderNumber = p.orderNumber AND c.email = p.email AND c.venue_id = p.venue_id
         GROUP BY ALL""",
     "contact_payloads": """SELECT email_address, home_venue, list_id, cust_name_first AS first_name, cust_name AS name,
@@ -483,14 +492,15 @@ TWINS: dict[str, str] = {
     "daily_tags": "SELECT email, tag FROM daily",
     "tag_assignments": "SELECT email, tag, tag_id FROM daily JOIN t_tag_dim USING (tag)",
     # Streaming, final state
-    "stream_messages": """SELECT mobile_number, keyword, security_code, campaign, body, email,
+    "stream_messages": f"""SELECT mobile_number, keyword, security_code, campaign, body, {_EMAIL} AS email,
         date_trunc('second', stamp)::VARCHAR AS stamp FROM t_messages""",
     "stream_sms_subscribers": """SELECT mobile_number,
         CASE WHEN max(CASE WHEN body ILIKE '%STOP%' THEN stamp END) = max(stamp) THEN 'Unsubscribed'
             ELSE 'Subscribed' END AS mobile_status,
         (max((stamp, email)) FILTER (email IS NOT NULL))[2] AS email_address,
         date_trunc('second', min(stamp))::VARCHAR AS join_date,
-        date_trunc('second', max(stamp))::VARCHAR AS last_message_date FROM t_messages GROUP BY 1""",
+        date_trunc('second', max(stamp))::VARCHAR AS last_message_date FROM c_messages
+        WHERE mobile_number IS NOT NULL GROUP BY 1""",
     "stream_optin_webhooks": """SELECT 'c' || c_custkey || '@example.com' AS email,
         lpad(c_custkey::VARCHAR, 9, '0') AS mobile_number, CASE WHEN c_custkey % 4 = 0 THEN 'No' ELSE 'Yes' END
         AS optin_status, '2024-02-0' || CASE WHEN c_custkey % 4 = 0 THEN 2 ELSE 1 END || ' 00:00:00' AS date_last_updated

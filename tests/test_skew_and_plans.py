@@ -1,5 +1,6 @@
 import contextlib
 import io
+import json
 from datetime import date, datetime
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.bindings import AS_OF, OPTIONS, TestTables
 from ticketlens.operators import features as ft
-from ticketlens.operators import marts, selection, skew, tags
+from ticketlens.operators import marts, payloads, selection, skew, tags
 from ticketlens.operators.batches import with_batch_id
 from ticketlens.plans.rebuild import wide_table
 from ticketlens.sources import tables as store
@@ -36,38 +37,30 @@ def settings(spark, **values):
             spark.conf.set(name, value)
 
 
-# --- lists of large keys --------------------------------------------------------------
-
-
-@pytest.mark.parametrize("few", [0, 10**9])
-def test_long_lists_come_in_parts_and_lose_nothing(spark, few, monkeypatch):
-    """A hot key, a hot group of copies and small keys; key sets sent around or shuffled."""
-    if not few:
-        monkeypatch.setattr(skew, "is_small", lambda df, max_rows=0: False)
-    hot = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
-    copies = spark.range(3000).select(F.lit("copies").alias("k"), F.lit(7).cast("bigint").alias("v"))
-    nulls = spark.range(700).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("v"))
-    small = spark.range(40).select(F.concat(F.lit("s"), F.col("id") % 20).alias("k"), F.col("id").alias("v"))
-    rows = hot.union(copies).union(nulls).union(small)
-    lists = skew.collect_parts(rows, ["k"], F.col("v"), "vs", max_items=500)
-    back = lists.select("k", F.explode("vs").alias("v"))
-    assert back.exceptAll(rows).count() == 0 and rows.exceptAll(back).count() == 0
-    sizes = {}
-    for row in lists.select("k", "part", "parts", F.size("vs").alias("n")).collect():
-        sizes.setdefault(row["k"], []).append((row["part"], row["parts"], row["n"]))
-    assert all(len(v) == 1 and v[0][1] == 1 for k, v in sizes.items() if k and k.startswith("s"))
-    for key, rows_of_key, parts in (("hot", 5000, 10), ("copies", 3000, 6), (None, 700, 2)):
-        assert {p[1] for p in sizes[key]} == {parts}
-        assert len({p[0] for p in sizes[key]}) == len(sizes[key])
-        assert sum(p[2] for p in sizes[key]) == rows_of_key
-        assert max(p[2] for p in sizes[key]) < 1250
+# --- orders of any size ---------------------------------------------------------------
+
+
+def test_an_order_of_30000_lines_is_one_payload(spark):
+    lines = spark.range(30_000).selectExpr(
+        "concat('9-', id) AS unique_id", "'5' AS venue_id", "'a@x' AS email", "'9' AS orderNumber",
+        "'s1' AS orderproduct_category", "'Night' AS event_name", "concat('Tier ', id % 3) AS orderproduct_name",
+        "id AS orderproduct_price", "'x9' AS externalid", "'7' AS customerid", "date'2018-04-01' AS orderDate",
+        "'card' AS shippingMethod", "100 AS totalPrice",
+    )
+    grouped = payloads.group_order_lines(lines)
+    known = grouped.withColumns({"connection": F.lit("4"), "crm_customer_id": F.lit("77")})
+    rows = payloads.order_payloads(known, numeric=True).collect()
+    assert len(rows) == 1
+    order = json.loads(rows[0]["payload"])["ecomOrder"]
+    assert order["externalid"] == "x9"
+    assert sorted(p["price"] for p in order["orderProducts"]) == list(range(30_000))
+    connections = spark.createDataFrame([("5", "4")], "venue_id string, connection string")
+    assert payloads.customer_payloads(grouped, connections).count() == 1
 
 
 def test_tag_sets_of_a_contact_with_many_tags(spark):
     many = spark.range(900).select(F.lit("a@x").alias("email"), F.col("id").cast("string").alias("tag"))
-    sets = tags.tag_sets(many.union(many), max_items=100)
-    assert sets.agg(F.sum(F.size("tags"))).first()[0] == 900
-    assert sets.agg(F.max(F.size("tags"))).first()[0] < 250
+    assert tags.tag_sets(many.union(many)).count() == 900
 
 
 # --- batches --------------------------------------------------------------------------
@@ -80,6 +73,14 @@ def test_batches_of_one_venue(table):
     assert sizes == {("5", 0): 5, ("5", 1): 5, ("5", 2): 2, ("6", 0): 1}
 
 
+def test_batches_keep_rows_with_missing_keys(table):
+    rows = table("venue string, number string", ("5", "1"), ("5", None), ("5", None), (None, "1"), (None, None))
+    out = with_batch_id(rows, "venue", ["number"], size=1).collect()
+    assert len(out) == 5
+    assert {r["venue"]: sorted(x["batch_id"] for x in out if x["venue"] == r["venue"]) for r in out} in (
+        {"5": [0, 0, 1], None: [0, 1]}, {"5": [0, 1, 1], None: [0, 1]})
+
+
 def test_batches_of_a_hot_venue_are_numbered_bucket_by_bucket(spark):
     rows = spark.range(20_000).select(
         F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("venue"), F.col("id").alias("number")

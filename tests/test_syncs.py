@@ -155,7 +155,7 @@ def test_tags(table):
     )
     assert pair(daily) == [("a@x", "IGNORE-x"), ("a@x", "T1"), ("a@x", "c5"), ("a@x", "c9")]
     assert sorted(r["tag"] for r in missing.collect()) == ["IGNORE-x", "c5", "c9"]
-    assert [r["tags"] for r in tags.tag_sets(daily).collect()] == [["IGNORE-x", "T1", "c5", "c9"]]
+    assert sorted(r["tag"] for r in tags.tag_sets(daily).collect()) == ["IGNORE-x", "T1", "c5", "c9"]
     dim = table("tag string, tag_id string", ("T1", "1"), ("c9", "2"))
     assigned = tags.tag_assignments(daily, dim)
     assert sorted((r["tag"], r["tag_id"]) for r in assigned.collect()) == [("T1", "1"), ("c9", "2")]
@@ -231,4 +231,4 @@ def test_push_report(table):
                     ("5", "order", "1", "success"), ("5", "order", "2", "err-other"), ("5", "order", "3", "err-other"))
     report = {r["outcome"]: r["n"] for r in quality.push_report(results).collect()}
     assert report == {"success": 1, "err-other": 2}
-    assert [r["failed_keys"] for r in quality.push_report_keys(results).collect()] == [["2", "3"]]
+    assert sorted(r["key"] for r in quality.push_report_keys(results).collect()) == ["2", "3"]

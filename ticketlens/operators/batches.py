@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketlens.operators.skew import join_on_keys
 from ticketlens.semantics import ORDERS_PER_BATCH
 
 
@@ -18,7 +19,7 @@ def with_batch_id(
     """Adds ``batch_id``: per venue 0, 1, 2, …, each of exactly ``size`` keys but the last.
 
     A key is a distinct value of the ``order`` columns within a venue; rows of one
-    key share a batch. Batches follow the keys' MD5, which is as arbitrary as batch
+    key share a batch; NULL is a value like any other. Batches follow the keys' MD5, which is as arbitrary as batch
     membership may be, but repeatable, and spreads any keys evenly: the leading
     digits cut each venue into 16**bucket_digits buckets, a running count over the
     buckets gives each its first position, and only the rows of one bucket are ever
@@ -40,13 +41,8 @@ def with_batch_id(
         venue, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
     )
     within = Window.partitionBy(venue, "_bucket").orderBy("_digest", *order)
-    numbered = (
-        keys.withColumn("_position", F.row_number().over(within))
-        .join(starts, [venue, "_bucket"])
-        .select(
-            venue,
-            *order,
-            F.floor((F.col("_start") + F.col("_position") - 1) / size).alias("batch_id"),
-        )
+    numbered = keys.withColumn("_position", F.row_number().over(within))
+    placed = join_on_keys(numbered, starts, [venue, "_bucket"], "inner").select(
+        venue, *order, F.floor((F.col("_start") + F.col("_position") - 1) / size).alias("batch_id")
     )
-    return df.join(numbered, [venue, *order])
+    return join_on_keys(df, placed, [venue, *order], "inner")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlens.functions import capitalise
+from ticketlens.functions import capitalise, clean_email
 from ticketlens.operators.selection import after_mark
 from ticketlens.semantics import OPTED_IN, OPTED_OUT, SUBSCRIBED, Moment
 
@@ -20,7 +20,7 @@ def optin_conflicts(
             raise ValueError("a mark needs an as_of")
         subs = subs.where(after_mark(F.col("last_message_date"), mark, as_of))
     crm = crm_contacts.select(
-        F.col("email").alias("email_address"),
+        clean_email(F.col("email")).alias("email_address"),
         F.col("optin_status").alias("ac_status"),
         F.col("date_last_updated").alias("ac_date"),
     )

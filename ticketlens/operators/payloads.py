@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ticketlens.functions import clean_email, product_name, repair_quotes, strip_space
 from ticketlens.operators.lookups import with_venue_lookup
-from ticketlens.operators.skew import LIST_ITEMS, collect_parts
 
 ORDER_KEYS = ["venue_id", "email", "orderNumber"]
 
@@ -73,32 +72,21 @@ def home_venue() -> Column:
     return F.coalesce(F.col("next_event_venue"), F.col("last_event_venue"), F.lit(""))
 
 
-def group_order_lines(lines: DataFrame, max_items: int = LIST_ITEMS) -> DataFrame:
-    """Order lines gathered into one row per (venue, email, order number).
+def group_order_lines(lines: DataFrame) -> DataFrame:
+    """Order lines gathered into one row per (venue, email, order number), however many they are.
 
     The email and order number are separate keys, so no two orders can run together.
-    The order's own fields are those of its lowest line. An order of more than
-    ``max_items`` lines comes as several parts.
+    The order's own fields are those of its lowest line. An order is pushed as one
+    document, so its lines are one list; header and list come from one aggregate.
     """
     lines = lines.withColumn("email", strip_space(F.col("email")))
     header = ["externalid", "customerid", "orderDate", "shippingMethod", "totalPrice"]
-    line = F.struct(
-        "unique_id",
-        "orderproduct_category",
-        "event_name",
-        "orderproduct_name",
-        "orderproduct_price",
-        *header,
-    )
-    grouped = collect_parts(lines, ORDER_KEYS, line, "lines", max_items)
-    first = F.col("lines")[0]
-    return grouped.select(
-        *ORDER_KEYS,
-        "part",
-        "parts",
-        *[first[name].alias(name) for name in header],
-        F.transform("lines", lambda row: row.dropFields(*header)).alias("lines"),
+    product = ["unique_id", "orderproduct_category", "event_name", "orderproduct_name", "orderproduct_price"]
+    grouped = lines.groupBy(*ORDER_KEYS).agg(
+        F.min(F.struct(*product, *header)).alias("first"),
+        F.sort_array(F.collect_list(F.struct(*product))).alias("lines"),
     )
+    return grouped.select(*ORDER_KEYS, *[F.col("first")[name].alias(name) for name in header], "lines")
 
 
 def customer_payloads(grouped: DataFrame, connections: DataFrame, distinct: bool = False) -> DataFrame:
@@ -106,7 +94,7 @@ def customer_payloads(grouped: DataFrame, connections: DataFrame, distinct: bool
 
     Venues without a connection have no payload.
     """
-    mapped = with_venue_lookup(grouped.where(F.col("part") == 0), connections, "venue_id", "connection")
+    mapped = with_venue_lookup(grouped, connections, "venue_id", "connection")
     rows = mapped.where("mapped").select(*ORDER_KEYS, "connection", "customerid")
     if distinct:
         rows = rows.groupBy("venue_id", "email", "connection").agg(F.min("customerid").alias("customerid"))
@@ -119,7 +107,7 @@ def customer_payloads(grouped: DataFrame, connections: DataFrame, distinct: bool
 
 
 def order_payloads(grouped: DataFrame, numeric: bool = False) -> DataFrame:
-    """One order payload per order part.
+    """One order payload per order.
 
     ``grouped`` is :func:`group_order_lines` with ``connection`` and ``crm_customer_id``
     added. ``numeric`` writes prices and quantities as numbers instead of text.

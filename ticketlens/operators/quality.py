@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlens.operators.skew import LIST_ITEMS, collect_parts
-
 # Response codes.
 CREATED = 201
 REJECTED = 422
@@ -30,7 +28,6 @@ def push_report(results: DataFrame) -> DataFrame:
     return results.groupBy("venue_id", "entity", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-def push_report_keys(results: DataFrame, ok: str = "success", max_items: int = LIST_ITEMS) -> DataFrame:
-    """The failing keys per venue, entity and outcome; long lists come in parts."""
-    failed = results.where(F.col("outcome") != ok)
-    return collect_parts(failed, ["venue_id", "entity", "outcome"], F.col("key"), "failed_keys", max_items)
+def push_report_keys(results: DataFrame, ok: str = "success") -> DataFrame:
+    """The failing keys, one row each with its venue, entity and outcome."""
+    return results.where(F.col("outcome") != ok).select("venue_id", "entity", "outcome", "key")

@@ -1,13 +1,11 @@
 """Helpers that keep one huge key from landing in one task.
 
 Aggregates over a hot key are safe on their own: Spark combines before the shuffle.
-Three cases need more:
+Two cases need more:
 
 * A join of two scanned or shuffled tables is split at run time by adaptive
   execution. It cannot do so where one side is an aggregate or join of its own, so
   such sides meet hot keys through :func:`lookup_join`.
-* A list per key puts the whole key in one row: :func:`collect_parts` cuts the lists
-  of large keys into parts.
 * Picking rows of a key: :func:`pick_row` limits each key before the shuffle.
 """
 
@@ -20,26 +18,12 @@ from pyspark.sql import functions as F
 
 # A key set of at most this many rows is sent to every task; beyond it, shuffled.
 BROADCAST_ROWS = 200_000
-# Items per list before a key's list is cut into parts.
-LIST_ITEMS = 10_000
 # A key is hot with more rows than this and more than a thousandth of all rows.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1000
 # Keys that one frequency sketch keeps, and sketches that are merged side by side.
 _SKETCH_KEYS = 4 * HOT_KEYS
 _SKETCH_GROUPS = 256
-# Copies of one item are re-expanded in two steps of at most this many rows each.
-_EXPAND_STEP = 4096
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store an intermediate result in the cluster's shared checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        from ticketlens.sources.scratch import scratch_dir
-
-        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -129,71 +113,6 @@ def _distinct_keys(keys: DataFrame, on: str, key: str | None) -> DataFrame:
     return keys.select(F.col(key or on).alias(on)).distinct()
 
 
-def collect_parts(
-    df: DataFrame, keys: list[str], item: Column, name: str, max_items: int = LIST_ITEMS
-) -> DataFrame:
-    """One sorted list of ``item`` per key, or several parts for a large key.
-
-    Returns the keys plus ``part`` (from 0), ``parts`` and the list. Keys of up to
-    ``max_items`` rows give exactly one part. A larger key is spread by hash over
-    ``ceil(rows / max_items)`` parts of roughly that size, copies of one item included;
-    every row is in exactly one part.
-
-    Runs one job: the keys above the limit, normally none, are found by a count
-    that combines before its shuffle, and are stored for reuse.
-    """
-    rows = df.select(*keys, item.alias("_item"))
-    ordinary = lambda part: (
-        part.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list("_item")).alias(name))
-        .select(*keys, F.lit(0).alias("part"), F.lit(1).alias("parts"), name)
-    )
-    big = cut_lineage(
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > max_items)
-        .withColumn("_parts", F.ceil(F.col("_rows") / max_items).cast("int"))
-        .drop("_rows")
-    )
-    if big.isEmpty():
-        return ordinary(rows)
-    big = broadcast_if_small(big)
-    return ordinary(join_on_keys(rows, big, keys, "left_anti")).unionByName(
-        _large_lists(join_on_keys(rows, big, keys, "inner"), keys, name, max_items)
-    )
-
-
-def _large_lists(rows: DataFrame, keys: list[str], name: str, max_items: int) -> DataFrame:
-    run = max(1, max_items // 16)  # copies of one item that stay together
-    runs = (
-        rows.groupBy(*keys, "_parts", "_item")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_runs", F.ceil(F.col("_copies") / run))
-        .withColumn("_block", F.explode(F.expr(f"sequence(0L, (_runs - 1) div {_EXPAND_STEP})")))
-        .withColumn(
-            "_run",
-            F.explode(
-                F.expr(
-                    f"sequence(_block * {_EXPAND_STEP}, least(_runs, (_block + 1) * {_EXPAND_STEP}) - 1)"
-                )
-            ),
-        )
-        .withColumn("_copies", F.least(F.lit(run), F.col("_copies") - F.col("_run") * run).cast("int"))
-        .withColumn("part", F.pmod(F.xxhash64("_item", "_run"), F.col("_parts")).cast("int"))
-    )
-    repeated = F.flatten(
-        F.transform(
-            F.collect_list(F.struct("_item", "_copies")),
-            lambda entry: F.array_repeat(entry["_item"], entry["_copies"]),
-        )
-    )
-    return (
-        runs.groupBy(*keys, "_parts", "part")
-        .agg(F.sort_array(repeated).alias(name))
-        .select(*keys, "part", F.col("_parts").alias("parts"), name)
-    )
-
-
 def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row of each key in the given order."""
     return pick_row(df, keys, order, 1)

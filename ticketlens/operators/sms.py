@@ -5,31 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlens.functions import digits_only, to_second
+from ticketlens.functions import clean_email, digits_only, is_valid_email, to_second
 from ticketlens.operators.skew import lookup_join
 from ticketlens.semantics import STOP_PATTERN, SUBSCRIBED, UNSUBSCRIBED
 
 
-def enrich_message_email(messages: DataFrame, crm_contacts: DataFrame, wide: DataFrame) -> DataFrame:
-    """Fill missing message emails: from the CRM contact with the number, else from the wide table.
+def message_email(email: Column) -> Column:
+    """A message's email in join-key form; blank or "none" is missing."""
+    cleaned = clean_email(email)
+    return F.when(is_valid_email(cleaned), cleaned)
+
+
+def clean_messages(messages: DataFrame) -> DataFrame:
+    """Numbers as digits, NULL where there are none, and emails in join-key form."""
+    number = F.nullif(digits_only(F.col("mobile_number")), F.lit(""))
+    return messages.withColumns({"mobile_number": number, "email": message_email(F.col("email"))})
+
 
-    Numbers are compared as digits on every side and a blank number matches
-    nothing. Where one number has several emails the newest CRM contact, or the most
-    recent orderer, gives its email; ties go to the lowest email.
+def emails_by_number(crm_contacts: DataFrame, wide: DataFrame) -> DataFrame:
+    """(mobile_number, email): of the CRM contact with the number, else of the wide table's.
+
+    Where one number has several emails the newest CRM contact, or the most recent
+    orderer, gives its email; ties go to the lowest email. A blank number has none.
     """
-    number = digits_only(F.col("mobile_number"))
     by_crm = _email_by_number(
-        crm_contacts, number, F.col("email"), F.col("date_last_updated").cast("date"), "_crm_email"
+        crm_contacts,
+        digits_only(F.col("mobile_number")),
+        message_email(F.col("email")),
+        F.col("date_last_updated").cast("date"),
+        "_crm_email",
     )
     by_wide = _email_by_number(
-        wide, digits_only(F.col("phone")), F.col("email_address"), F.col("last_ordered_date"), "_wide_email"
-    )
-    by_number = by_crm.join(by_wide, "mobile_number", "full")
-    return (
-        lookup_join(messages.withColumn("mobile_number", number), by_number, "mobile_number", "left")
-        .withColumn("email", F.coalesce("email", "_crm_email", "_wide_email"))
-        .drop("_crm_email", "_wide_email")
+        wide,
+        digits_only(F.col("phone")),
+        message_email(F.col("email_address")),
+        F.col("last_ordered_date"),
+        "_wide_email",
     )
+    both = by_crm.join(by_wide, "mobile_number", "full")
+    return both.select("mobile_number", F.coalesce("_crm_email", "_wide_email").alias("_known_email"))
+
+
+def enrich_message_email(messages: DataFrame, crm_contacts: DataFrame, wide: DataFrame) -> DataFrame:
+    """Messages with clean numbers and emails, missing emails filled by :func:`emails_by_number`."""
+    by_number = emails_by_number(crm_contacts, wide)
+    return fill_email(lookup_join(clean_messages(messages), by_number, "mobile_number", "left"))
+
+
+def fill_email(messages: DataFrame) -> DataFrame:
+    return messages.withColumn("email", F.coalesce("email", "_known_email")).drop("_known_email")
 
 
 def _email_by_number(df: DataFrame, number: Column, email: Column, day: Column, name: str) -> DataFrame:
@@ -71,5 +95,10 @@ def subscriber_fields() -> list[Column]:
 
 
 def sms_subscribers(messages: DataFrame, stop_pattern: str = STOP_PATTERN) -> DataFrame:
-    """One row per number: status, newest email, first and last message time."""
-    return messages.groupBy("mobile_number").agg(*subscriber_columns(stop_pattern)).select(*subscriber_fields())
+    """One row per number: status, newest email, first and last message time.
+
+    Numbers are compared as digits; messages without a number belong to nobody. Also
+    the running table of a message stream: its state is three timestamps and one email per number.
+    """
+    known = clean_messages(messages).where(F.col("mobile_number").isNotNull())
+    return known.groupBy("mobile_number").agg(*subscriber_columns(stop_pattern)).select(*subscriber_fields())

@@ -1,26 +1,35 @@
 """Campaign tags of contacts.
 
 Contact tags are kept long, one row per (email, tag): a set of pairs needs no list
-per contact. :func:`tag_sets` gathers them where a set is wanted.
+per contact, and no contact can have too many.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketlens.functions import digits_only
 from ticketlens.operators.selection import after_mark
-from ticketlens.operators.skew import LIST_ITEMS, collect_parts
+from ticketlens.operators.skew import lookup_join
 from ticketlens.semantics import IGNORED_TAG_PATTERN, Moment
 
 
 def _campaigns(subscribers: DataFrame, messages: DataFrame) -> DataFrame:
-    """Distinct (email, campaign): messages collapse per number before the join."""
-    sent = messages.select("mobile_number", "campaign").distinct()
-    subs = subscribers.where(F.col("email_address").isNotNull()).select(
-        F.col("email_address").alias("email"), "mobile_number"
-    )
-    return subs.join(sent, "mobile_number").select("email", "campaign")
+    """Distinct (email, campaign): messages collapse per number before the join.
+
+    Numbers are compared as digits on both sides; a number without digits matches nothing.
+    """
+    number = digits_only(F.col("mobile_number")).alias("mobile_number")
+    known = F.col("mobile_number") != ""
+    sent = messages.select(number, "campaign").where(known).distinct()
+    subs = subscribers.where(F.col("email_address").isNotNull()).select(F.col("email_address").alias("email"), number)
+    return lookup_join(sent, subs.where(known), "mobile_number").select("email", "campaign")
+
+
+def _map_key(campaign: str = "campaign") -> Column:
+    """Campaigns are looked up whatever their case."""
+    return F.lower(F.col(campaign)).alias("_campaign")
 
 
 def backlog_tags(
@@ -30,9 +39,11 @@ def backlog_tags(
     ignored_pattern: str = IGNORED_TAG_PATTERN,
 ) -> DataFrame:
     """(email, tag) of mapped campaigns, tags to be ignored left out."""
+    wanted = tag_map.where(~F.col("tag").ilike(ignored_pattern)).select(_map_key(), "tag")
     return (
         _campaigns(subscribers, messages)
-        .join(tag_map.where(~F.col("tag").ilike(ignored_pattern)), "campaign")
+        .select("email", _map_key())
+        .join(wanted, "_campaign")
         .select("email", "tag")
         .distinct()
     )
@@ -46,16 +57,17 @@ def daily_tags(
     mapped = F.when(~F.col("tag").isin("", "None"), F.col("tag"))
     return (
         _campaigns(recent, messages)
-        .join(tag_map, "campaign", "left")
+        .select("email", "campaign", _map_key())
+        .join(tag_map.select(_map_key(), "tag"), "_campaign", "left")
         .select("email", F.coalesce(mapped, "campaign").alias("tag"))
         .where(F.col("tag").isNotNull())
         .distinct()
     )
 
 
-def tag_sets(contact_tags: DataFrame, max_items: int = LIST_ITEMS) -> DataFrame:
-    """Sorted tag list per contact; a contact with very many tags has several parts."""
-    return collect_parts(contact_tags.select("email", "tag").distinct(), ["email"], F.col("tag"), "tags", max_items)
+def tag_sets(contact_tags: DataFrame) -> DataFrame:
+    """The tag set of each contact, one row per (email, tag)."""
+    return contact_tags.select("email", "tag").distinct()
 
 
 def all_tags(contact_tags: DataFrame) -> DataFrame:

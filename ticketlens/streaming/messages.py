@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ticketlens.functions import wall_clock
-from ticketlens.operators.sms import subscriber_columns, subscriber_fields
+from ticketlens.operators.sms import clean_messages, emails_by_number, fill_email, message_email, sms_subscribers
 from ticketlens.schemas import MESSAGE_JSON, MESSAGES, SUBSCRIBERS
 from ticketlens.semantics import STOP_PATTERN
 from ticketlens.sources.tables import read_version, write_version
@@ -26,10 +26,10 @@ MESSAGE_FIELDS = {
 
 
 def message_rows(requests: DataFrame) -> DataFrame:
-    """Requests with one-letter fields to message rows; blank emails are missing emails."""
+    """Requests with one-letter fields to message rows; emails in join-key form, blank ones missing."""
     columns = [F.col(letter).alias(name) for name, letter in MESSAGE_FIELDS.items() if name != "email"]
     return requests.select(
-        *columns, F.nullif(F.col("e"), F.lit("")).alias("email"), wall_clock(F.col("t")).alias("timestamp")
+        *columns, message_email(F.col("e")).alias("email"), wall_clock(F.col("t")).alias("timestamp")
     )
 
 
@@ -58,13 +58,30 @@ def message_log(spark: SparkSession, source: str, schema: StructType = MESSAGES)
     return spark.readStream.schema(schema).parquet(source)
 
 
-def subscriber_stream(messages: DataFrame, stop_pattern: str = STOP_PATTERN) -> DataFrame:
-    """Running subscriber rows. State is three timestamps and one email per number."""
-    return messages.groupBy("mobile_number").agg(*subscriber_columns(stop_pattern)).select(*subscriber_fields())
+def subscriber_stream(
+    messages: DataFrame,
+    stop_pattern: str = STOP_PATTERN,
+    crm_contacts: DataFrame | None = None,
+    wide: DataFrame | None = None,
+) -> DataFrame:
+    """Running subscriber rows, the batch aggregate on a stream.
+
+    With CRM contacts and the wide table, missing emails are filled as in the batch
+    job, from the state of these tables when the micro-batch runs.
+    """
+    if crm_contacts is not None and wide is not None:
+        known = emails_by_number(crm_contacts, wide)
+        messages = fill_email(clean_messages(messages).join(known, "mobile_number", "left"))
+    return sms_subscribers(messages, stop_pattern)
 
 
 def stream_sms_subscribers(
-    messages: DataFrame, root: str, checkpoint: str, stop_pattern: str = STOP_PATTERN
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    stop_pattern: str = STOP_PATTERN,
+    crm_contacts: DataFrame | None = None,
+    wide: DataFrame | None = None,
 ) -> StreamingQuery:
     """Keep the versioned subscriber table up to date from a message stream.
 
@@ -77,7 +94,7 @@ def stream_sms_subscribers(
         write_version(upsert(current, batch, ["mobile_number"]), root)
 
     return (
-        subscriber_stream(messages, stop_pattern)
+        subscriber_stream(messages, stop_pattern, crm_contacts, wide)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
