@@ -94,6 +94,15 @@ def test_orders_from_json(spark, landing, scratch):
     assert dates == {datetime(1999, 12, 31, 23, 59, 59)}
 
 
+def test_show_9_is_seen_before_show_10(spark, tmp_path):
+    for show, email in (("10", "late@x.co"), ("9", "first@x.co")):
+        land(str(tmp_path), {f"venue_id=5/show_id={show}/orders.json": [order("1", {"GA": [ticket(1)]}, email=email)]})
+    raw = json_api.read_orders_json(spark, str(tmp_path))
+    merged = ingest.merge_order_sightings(ingest.flatten_orders(raw, "2018-05-01")).collect()
+    assert [(r["show_id"], r["email"]) for r in merged] == [("9", "first@x.co")]
+    assert [r["show_id"] for r in ingest.first_sightings(raw).collect()] == ["9"]
+
+
 def test_catalog_and_shows_from_json(spark, tmp_path, scratch):
     starts = {"1": "2018-05-10T19:30:00.000-05:00", "2": "2018-04-26 00:00:00", "3": "2018-04-25T23:59:59Z"}
     land(str(tmp_path), {

@@ -44,6 +44,21 @@ def test_messages_and_subscribers_in_three_runs(spark, tmp_path, scratch):
     assert status["1"] == ("Unsubscribed", "a@x")
 
 
+def test_messy_numbers_are_one_subscriber_in_stream_and_batch(spark, tmp_path, scratch):
+    landing, log, root = f"{tmp_path}/in", f"{tmp_path}/log", scratch("messy")
+    land(landing, "1.json", [
+        request("+1 (555) 1", "hi", "2018-01-01", " B@X.co"), request("15551", "stop", "2018-01-02", "None"),
+        request("", "hi", "2018-01-01", "c@x"), request(None, "hi", "2018-01-01", "d@x"),
+    ])
+    sm.stream_messages(sm.read_message_requests(spark, landing), log, f"{tmp_path}/c1").awaitTermination()
+    sm.stream_sms_subscribers(sm.message_log(spark, log), root, f"{tmp_path}/c2").awaitTermination()
+    final = read_version(spark, root, SUBSCRIBERS).collect()
+    assert [(r["mobile_number"], r["mobile_status"], r["email_address"]) for r in final] == [
+        ("15551", "Unsubscribed", "b@x.co")
+    ]
+    assert final == sms_subscribers(spark.read.schema(MESSAGES).parquet(log)).collect()
+
+
 def hook(kind, email, optin, stamp, method="POST"):
     body = f"contact%5Bemail%5D={email}&contact%5Bfields%5D%5Bmobile_number%5D=%2B1555&contact[fields][mobile_optin]={optin}"
     return {"path": f"/webhooks/{kind}", "httpMethod": method, "body": body, "received_at": stamp}

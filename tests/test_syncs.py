@@ -94,7 +94,8 @@ def test_email_enrichment(table):
     wide = table(WIDE, ("wide@x", "7 77", date(2018, 1, 1), None), ("none@x", None, None, None),
                  ("late@x", "555", date(2019, 1, 1), None))
     out = {r["mobile_number"]: r["email"] for r in sms.enrich_message_email(messages, crm, wide).collect()}
-    assert out == {"555": "new@x", "": None, "777": "wide@x", "888": "own@x"}
+    # A missing number stays missing, so that it becomes nobody's.
+    assert out == {"555": "new@x", None: None, "777": "wide@x", "888": "own@x"}
 
 
 def test_subscriber_status(table):

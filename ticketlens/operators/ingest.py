@@ -54,16 +54,21 @@ def flatten_orders(orders: DataFrame, entry_date: Moment) -> DataFrame:
     )
 
 
+def _show_order() -> list[Column]:
+    """Show ids as numbers, those that are none last and by text."""
+    return [F.coalesce(F.col("show_id").try_cast("bigint"), F.lit(2**63 - 1)), F.col("show_id")]
+
+
 def merge_order_sightings(
     flat: DataFrame, sequence: Column | None = None, keys: list[str] | None = None
 ) -> DataFrame:
     """One row per order of a venue: attributes as first seen, totals added up.
 
-    ``sequence`` orders the sightings (default: show id).
+    ``sequence`` orders the sightings (default: show id, as a number).
     """
     keys = keys or SIGHTING_KEYS
     rest = [c for c in flat.columns if c not in (*keys, "order_total", "bad_prices")]
-    order = F.struct((F.col("show_id") if sequence is None else sequence).alias("seq"), F.struct(*rest))
+    order = F.struct((F.struct(*_show_order()) if sequence is None else sequence).alias("seq"), F.struct(*rest))
     first = F.min_by(F.struct(*rest), order)
     merged = flat.groupBy(*keys).agg(
         first.alias("_first"), F.sum("order_total").alias("order_total"), F.sum("bad_prices").alias("bad_prices")
@@ -87,8 +92,8 @@ def flatten_orderlines(orders: DataFrame) -> DataFrame:
 
 
 def first_sightings(orders: DataFrame, order: list[Column] | None = None) -> DataFrame:
-    """The first sighting of each order of a venue (default order: show id)."""
-    return one_per_key(orders, SIGHTING_KEYS, order or [F.col("show_id"), F.col("id")])
+    """The first sighting of each order of a venue (default order: show id, as a number)."""
+    return one_per_key(orders, SIGHTING_KEYS, order or [*_show_order(), F.col("id")])
 
 
 def flatten_contacts(orders: DataFrame, entry_date: Moment) -> DataFrame:
