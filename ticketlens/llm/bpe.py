@@ -17,11 +17,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlens.llm.common import bounded_batches
-from ticketlens.llm.merges import _PRE, Merger, Merges, from_ranks, pre_tokens
+from ticketlens.llm.merges import _PRE, SYMBOL, Merger, Merges, from_ranks, pre_tokens
 
 CHUNK = 1 << 15
 OVERLAP = 1 << 10
@@ -46,10 +47,9 @@ def encode(
         for array in arrays:
             parts = []
             for at in range(0, len(array), SOME):  # few texts at a time keep the worker small
-                cut = [_PRE.findall(t.as_py()) for t in array[at : at + SOME]]
-                known = merger.symbols([p for pieces in cut for p in pieces])
-                ids = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
-                parts.append(pa.array(ids, pa.list_(pa.int32())))
+                cut = [_PRE.findall(t) for t in array[at : at + SOME].to_pylist()]
+                known = merger.symbols(cut)
+                parts.append(_id_lists([b"".join(map(known.__getitem__, pieces)) for pieces in cut]))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,19 +67,22 @@ def encode(
         for batch in batches:
             starts, sizes, ids = [], [], []
             for text in batch.column("text"):
-                found = [p for block in pre_tokens(text.as_py()) for p in block]
-                known = merger.symbols(found)
-                lengths = np.fromiter(map(len, found), np.int64, len(found))
-                starts.append(np.cumsum(lengths) - lengths)
-                sizes.append([len(known[p]) for p in found])
-                ids.append([i for p in found for i in known[p]])
-            extra = [pa.array(x, pa.list_(pa.int32())) for x in (starts, sizes, ids)]
+                found = list(chain.from_iterable(pre_tokens(text.as_py())))
+                known = merger.symbols([found])
+                symbols = [known[p] for p in found]
+                lengths = np.fromiter(map(len, found), np.int32, len(found))
+                starts.append((np.cumsum(lengths, dtype=np.int32) - lengths).tobytes())
+                sizes.append((np.fromiter(map(len, symbols), np.int32, len(symbols)) // SYMBOL).astype(np.int32).tobytes())
+                ids.append(b"".join(symbols))
+            extra = [_id_lists(x) for x in (starts, sizes, ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "starts", "sizes", "ids"])
 
     def join(table: pa.Table) -> pa.Table:
-        rows = table.sort_by("k").to_pylist()
+        table = table.sort_by("k")
+        arrays = {c: [x.values.to_numpy() for x in table.column(c)] for c in ("starts", "sizes", "ids")}
+        rows = [dict(zip(("text", *arrays), row)) for row in zip(table.column("text").to_pylist(), *arrays.values())]
         found = stitch(rows, chunk, Merger(Merges(*shared.value)))
-        return pa.table({"id": table.column("id").combine_chunks().slice(0, 1), "ids": pa.array([found], pa.list_(pa.int32()))})
+        return pa.table({"id": table.column("id").combine_chunks().slice(0, 1), "ids": _id_lists([found.tobytes()])})
 
     id_type = texts.schema["id"].dataType.simpleString()
     chunks = long.withColumn("row", F.monotonically_increasing_id()).mapInArrow(cut, f"row long, id {id_type}, k long, text string")
@@ -91,36 +94,42 @@ def encode(
     return plain.union(stitched).withColumnRenamed("id", id_col)
 
 
-def stitch(rows: list[dict], chunk: int, merger: Merger) -> list[int]:
-    """Ids of one text from its chunks in order (``text``, ``starts``, ``sizes``, ``ids``)."""
+def _id_lists(rows: list[bytes]) -> pa.Array:
+    """Rows given as the bytes of int32 arrays, as one array of lists."""
+    offsets = np.cumsum([0, *map(len, rows)]) // SYMBOL
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+
+def stitch(rows: list[dict], chunk: int, merger: Merger) -> np.ndarray:
+    """Ids of one text from its chunks in order (``text``, and arrays ``starts``, ``sizes``, ``ids``)."""
     full = "".join(r["text"][:chunk] for r in rows[:-1]) + rows[-1]["text"]
-    starts = [np.array(r["starts"], np.int64) + i * chunk for i, r in enumerate(rows)]
-    tokens = [np.concatenate([[0], np.cumsum(np.array(r["sizes"], np.int64))]) for r in rows]
+    starts = [np.asarray(r["starts"], np.int64) + i * chunk for i, r in enumerate(rows)]
+    tokens = [np.concatenate([[0], np.cumsum(np.asarray(r["sizes"], np.int64))]) for r in rows]
     ends = [i * chunk + len(r["text"]) for i, r in enumerate(rows)]
-    out: list[int] = []
+    out = [np.empty(0, np.int32)]
     pos, k = 0, 0
     while pos < len(full):
         at = int(np.searchsorted(starts[k], pos))
         last = k == len(rows) - 1
         if at < len(starts[k]) and starts[k][at] == pos:
             if last:
-                out += rows[k]["ids"][tokens[k][at] :]
+                out.append(rows[k]["ids"][tokens[k][at] :])
                 break
             sure = starts[k][(starts[k] >= pos) & (starts[k] <= ends[k] - _SURE)]
             common = np.intersect1d(sure, starts[k + 1], assume_unique=True)
             to = int(common[0]) if len(common) else int(sure[-1]) if len(sure) else pos
             until = int(np.searchsorted(starts[k], to))
-            out += rows[k]["ids"][tokens[k][at] : tokens[k][until]]
+            out.append(rows[k]["ids"][tokens[k][at] : tokens[k][until]])
             pos = to
             if len(common):
                 k += 1
                 continue
         piece = _PRE.match(full, pos).group()  # no boundary in common: walk on
-        out += merger.symbols([piece])[piece]
+        out.append(np.frombuffer(merger.symbols([[piece]])[piece], np.int32))
         pos += len(piece)
         while k < len(rows) - 1 and pos >= ends[k] - _SURE:
             k += 1
-    return out
+    return np.concatenate(out)
 
 
 def decode(spark: SparkSession, ids: str | Column, path: str) -> Column:
@@ -130,6 +139,8 @@ def decode(spark: SparkSession, ids: str | Column, path: str) -> Column:
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = shared.value
         for array in arrays:
-            yield pa.array([b"".join([tokens[i] for i in x.as_py() or ()]) for x in array], pa.binary())
+            found, ends = array.flatten().to_pylist(), np.cumsum(pc.fill_null(pc.list_value_length(array), 0))
+            said = [b"".join(map(tokens.__getitem__, found[a:b])) for a, b in zip([0, *ends[:-1]], ends)]
+            yield pa.array(said, pa.binary())
 
     return F.arrow_udf(run, "binary")(ids)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +16,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 NONE = np.iinfo(np.int32).max
 # Longer pre-tokens are merged one pair at a time from a heap, in n log n steps, with the same result.
 LONG = 1024
+# Bytes of one symbol in a remembered result.
+SYMBOL = np.dtype(np.int32).itemsize
 # Pre-tokens whose result a worker remembers.
 CACHE = 1 << 18
 
@@ -82,7 +85,7 @@ class Merger:
             self._slots[at[free]] = left[free]
             lost = self._slots[at] != left
             left, at = left[lost], (at[lost] + 1) & self._mask
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._known: dict[str, bytes] = {}
 
     def _hash(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
@@ -179,14 +182,14 @@ class Merger:
                 offer(before[i])
         return np.array([s for s, ok in zip(sym, alive) if ok], np.int32)
 
-    def symbols(self, pieces: list[str]) -> dict[str, tuple[int, ...]]:
-        """Symbols of every piece; the answer holds at least the pieces asked for."""
+    def symbols(self, pieces: Iterable[list[str]]) -> dict[str, bytes]:
+        """Symbols of every piece in the lists, as the bytes of an int32 array; the answer may hold more pieces."""
         if len(self._known) > CACHE:
             self._known = {}
         known = self._known
-        new = list({p for p in pieces if p not in known})
+        new = list(set().union(*pieces).difference(known))
         for p, ids in zip(new, self.merge([p.encode() for p in new])):
-            known[p] = tuple(ids.tolist())  # tuples of numbers do not slow the garbage collector
+            known[p] = ids.tobytes()  # far smaller than lists of numbers, and joined without reading them
         return known
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlens.llm.common import bounded_batches
-from ticketlens.llm.merges import BLOCK, Merger, from_json, pre_tokens
+from ticketlens.llm.merges import BLOCK, SYMBOL, Merger, from_json, pre_tokens
 
 
 def token_count(spark: SparkSession, text: str | Column, path: str) -> Column:
@@ -50,6 +50,6 @@ def token_count(spark: SparkSession, text: str | Column, path: str) -> Column:
 
 
 def _add(counts: list[int], waiting: list[tuple[int, list[str]]], merger: Merger) -> None:
-    known = merger.symbols([p for _, block in waiting for p in block])
+    known = merger.symbols(block for _, block in waiting)
     for i, block in waiting:
-        counts[i] += sum(map(len, map(known.__getitem__, block)))
+        counts[i] += sum(map(len, map(known.__getitem__, block))) // SYMBOL
