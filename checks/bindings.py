@@ -271,6 +271,28 @@ class TestTables:
             "concat('x', o_orderkey) AS crm_id",
         )
 
+    @once
+    def crm_lists(self) -> DataFrame:
+        """CRM ids of two of three customers, in messy emails, and the lists of some of them."""
+        return self.raw("customer").where("c_custkey % 3 <> 0").selectExpr(
+            "concat(' C', c_custkey, '@Example.com') AS email",
+            "concat('k', c_custkey) AS crm_id",
+            "CASE WHEN c_custkey % 4 < 2 THEN cast(c_custkey % 25 AS string) END AS list_id",
+        )
+
+    @once
+    def contact_responses(self) -> DataFrame:
+        """A log of responses to contact pushes, one per order."""
+        return self.raw("orders").selectExpr(
+            "cast(o_orderkey AS string) AS key",
+            "CASE WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 13 > 1 THEN cast(o_custkey % 25 AS string) END"
+            " AS venue_id",
+            "CASE WHEN o_custkey % 2 = 0 THEN 'contact_edit' ELSE 'contact_add' END AS action",
+            "CASE WHEN o_orderkey % 7 = 0 THEN 500 ELSE 200 END AS status",
+            "CASE o_orderkey % 5 WHEN 0 THEN '{\"result_code\":0}' WHEN 1 THEN 'gateway' WHEN 2 THEN '{}'"
+            " ELSE '{\"result_code\":1}' END AS body",
+        )
+
     @once
     def responses(self) -> DataFrame:
         """A log of push responses, one per order."""

@@ -783,6 +783,26 @@ def classify_response(t: TestTables) -> DataFrame:
     return _results(t).select("key", "outcome")
 
 
+@query
+def classify_contact_response(t: TestTables) -> DataFrame:
+    columns = [F.col(c) for c in ("status", "body", "action", "venue_id")]
+    return t.contact_responses().select("key", quality.classify_contact_response(*columns).alias("outcome"))
+
+
+@query
+def order_outcome(t: TestTables) -> DataFrame:
+    """Every third duplicate has no CRM id; every other update is accepted."""
+    pushed = t.responses().withColumns(
+        {
+            "first": quality.classify_response(F.col("status"), F.col("body")),
+            "crm_id": F.expr("CASE WHEN key % 3 <> 0 THEN concat('x', key) END"),
+            "again": quality.classify_response(F.expr("CASE WHEN key % 2 = 0 THEN 201 ELSE 500 END"), F.lit("{}")),
+        }
+    )
+    outcome = quality.order_outcome(F.col("first"), F.col("crm_id"), F.col("again"))
+    return pushed.select("key", outcome.alias("outcome"))
+
+
 @query
 def only_numbers(t: TestTables) -> DataFrame:
     register_functions(t.spark)
@@ -872,6 +892,34 @@ def contact_push_plan(t: TestTables) -> DataFrame:
     return plan.select("email_address", "home_venue", "list_id", "plan")
 
 
+@query
+def plan_contact_push(t: TestTables) -> DataFrame:
+    return lookups.plan_contact_push(_selected(t), t.crm_lists()).select("email_address", "crm_id", "action")
+
+
+@query
+def contact_payloads_add_or_edit(t: TestTables) -> DataFrame:
+    doc = F.from_json("payload", "map<string,string>")
+    pushed = payloads.contact_payloads(_selected(t), t.lists(), crm_ids=t.crm_lists()).withColumn("doc", doc)
+    return pushed.select("email_address", F.col("doc")["api_action"].alias("action"), F.col("doc")["id"].alias("crm_id"))
+
+
+@query
+def mobile_push_plan(t: TestTables) -> DataFrame:
+    plan = payloads.mobile_push_plan(optin.resolve_optin(_conflicts(t)), t.crm_lists())
+    return plan.select("email_address", "mobile_number", "mobile_optin", "crm_id", "list_id", "plan")
+
+
+@query
+def mobile_payloads_with_list(t: TestTables) -> DataFrame:
+    pushed = payloads.mobile_payloads(optin.resolve_optin(_conflicts(t)), t.crm_lists())
+    return pushed.select(
+        "mobile_number",
+        F.get_json_object("payload", "$.id").alias("crm_id"),
+        F.regexp_extract("payload", r'"p\[(\d+)\]":"\1"', 1).alias("list_id"),
+    )
+
+
 @query
 def resolve_optin(t: TestTables) -> DataFrame:
     return optin.resolve_optin(_conflicts(t)).select("email_address", "mobile_number", "mobile_optin")

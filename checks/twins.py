@@ -58,6 +58,12 @@ def _pick(name: str, bound: str, extreme: str) -> str:
 
 _EMAIL = "CASE WHEN lower(trim(email)) NOT IN ('', 'none') THEN lower(trim(email)) END"
 
+# The CRM knows two of three customers, half of them with a list.
+_CUSTOMER = r"TRY_CAST(regexp_extract(email_address, '^c(\d+)@', 1) AS BIGINT)"
+_CRM_ID = f"CASE WHEN {_CUSTOMER} % 3 <> 0 THEN 'k' || {_CUSTOMER} END"
+_ACTION = f"CASE WHEN {_CUSTOMER} % 3 <> 0 THEN 'contact_edit' ELSE 'contact_add' END"
+_LIST_ID = f"CASE WHEN {_CUSTOMER} % 3 <> 0 AND {_CUSTOMER} % 4 < 2 THEN ({_CUSTOMER} % 25)::VARCHAR END"
+
 _CTES: dict[str, str] = {
     # The given tables as ticketing tables.
     "t_contacts": """SELECT 'c' || c_custkey || '@example.com' AS email_address, c_name AS name,
@@ -467,6 +473,13 @@ TWINS: dict[str, str] = {
     "array_functions": """SELECT l_orderkey, l_linenumber, l_returnflag || chr(9) || l_linestatus AS joined,
         l_returnflag AS first, NULL::VARCHAR AS tenth FROM lineitem""",
     "classify_response": "SELECT key, outcome FROM t_responses",
+    "classify_contact_response": """SELECT o_orderkey::VARCHAR AS key, CASE WHEN o_orderkey % 13 IN (0, 1)
+        THEN 'err_list' WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 IN (1, 2) THEN 'err_other'
+        WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 > 2 THEN 'success'
+        WHEN o_custkey % 2 = 0 THEN 'err_update' ELSE 'err_add' END AS outcome FROM orders""",
+    "order_outcome": """SELECT o_orderkey::VARCHAR AS key, CASE WHEN o_orderkey % 11 > 2 THEN 'success'
+        WHEN o_orderkey % 11 > 0 THEN 'err-other' WHEN o_orderkey % 3 = 0 OR o_orderkey % 2 = 0 THEN 'success'
+        ELSE 'err-update' END AS outcome FROM orders""",
     "only_numbers": f"SELECT id, {_digits('phone')} AS cleaned FROM t_orders",
     # Payloads, opt-in, tags
     "customer_payloads": """SELECT o.venue_id, email, orderNumber, connection, customerid AS external_id
@@ -486,6 +499,14 @@ TWINS: dict[str, str] = {
         coalesce(paid_orders_revenue_90::VARCHAR, 'None') AS revenue_90, 42 AS n_fields
         FROM planned WHERE plan = 'ready'""",
     "contact_push_plan": "SELECT email_address, home_venue, list_id, plan FROM planned",
+    "plan_contact_push": f"SELECT email_address, {_CRM_ID} AS crm_id, {_ACTION} AS action FROM selected",
+    "contact_payloads_add_or_edit": f"""SELECT email_address, {_ACTION} AS action, {_CRM_ID} AS crm_id
+        FROM planned WHERE plan = 'ready'""",
+    "mobile_push_plan": f"""SELECT email_address, mobile_number, mobile_optin, {_CRM_ID} AS crm_id, {_LIST_ID} AS list_id,
+        CASE WHEN {_CRM_ID} IS NULL THEN 'err_other' WHEN {_LIST_ID} IS NULL THEN 'err_list' ELSE 'ready' END AS plan
+        FROM resolved""",
+    "mobile_payloads_with_list": f"""SELECT mobile_number, {_CRM_ID} AS crm_id, {_LIST_ID} AS list_id
+        FROM resolved WHERE {_LIST_ID} IS NOT NULL""",
     "resolve_optin": "SELECT email_address, mobile_number, mobile_optin FROM resolved",
     "mobile_payloads": """SELECT email_address AS email, mobile_number, mobile_optin FROM resolved""",
     "backlog_tags": "SELECT email, tag FROM backlog",

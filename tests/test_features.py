@@ -261,3 +261,25 @@ def test_rebuild_all(world, spark, scratch):
     subscribers = {r["mobile_number"]: (r["email_address"], r["mobile_status"])
                    for r in tables["contacts_mobile_mv"].collect()}
     assert subscribers == {"2": ("tie@x", "Unsubscribed"), "9": ("crm@x", "Subscribed")}
+
+
+def test_runs_read_only_the_days_they_need_and_a_failed_rebuild_leaves_the_tables(world, spark, scratch):
+    from ticketlens.operators import selection
+    from ticketlens.plans.rebuild import by_entry_day
+    from ticketlens.sources.tables import read_version, write_version
+
+    p = processed_tables(world)
+    mart = marts.orders_mart(*[p[f"{n}_processed"] for n in ("orders", "orderlines", "shows", "events")], world.venues)
+    root = scratch("mart")
+    write_version(by_entry_day(mart), root, ["entry_day"])
+    stored = read_version(spark, root)
+    assert stored.count() == mart.count()
+    runs = [lambda m: selection.changed_orders(m, "2018-03-01", "2018-04-02"), lambda m: selection.historical_orders(m, "2018-04-01")]
+    for run in runs:
+        assert sorted(map(str, run(stored).select(*mart.columns).collect())) == sorted(map(str, run(mart).collect()))
+        plan = run(stored)._jdf.queryExecution().executedPlan().toString()
+        filters = next(part for part in plan.split("PartitionFilters: [")[1:])
+        assert filters.startswith(("isnotnull(entry_day", "((entry_day", "(isnull(entry_day", "isnull(entry_day")), filters[:80]
+    with pytest.raises(Exception, match="planned"):
+        write_version(mart.withColumn("x", F.raise_error(F.lit("planned"))), root)
+    assert read_version(spark, root).count() == stored.count()

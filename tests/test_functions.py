@@ -7,7 +7,7 @@ from ticketlens import functions as fn
 from ticketlens import semantics as sem
 from ticketlens.functions.forms import parse_form
 from ticketlens.functions.sqlfuncs import register_functions
-from ticketlens.operators.quality import classify_response
+from ticketlens.operators.quality import classify_contact_response, classify_response, order_outcome
 
 
 def apply(spark, function, *values):
@@ -91,6 +91,30 @@ def test_response_classes(spark, table):
     assert [r["c"] for r in out.collect()] == ["success", "duplicate", "other", "other", "other", "other"]
 
 
+def test_contact_and_order_outcomes(table):
+    rows = table(
+        "i int, status int, body string, action string, venue string",
+        (0, 200, '{"result_code":1}', "contact_edit", "5"),
+        (1, 200, '{"result_code":0}', "contact_edit", "5"),
+        (2, 200, '{"result_code":0}', "contact_add", "5"),
+        (3, 200, "not json", "contact_add", "5"),
+        (4, 500, None, "contact_add", "5"),
+        (5, 200, '{"result_code":1}', "contact_add", None),
+        (6, None, None, None, "5"),
+    )
+    found = classify_contact_response(*[F.col(c) for c in ("status", "body", "action", "venue")])
+    out = [r["c"] for r in rows.select("i", found.alias("c")).orderBy("i").collect()]
+    assert out == ["success", "err_update", "err_add", "err_other", "err_add", "err_list", "err_add"]
+    orders = table(
+        "i int, first string, crm_id string, again string",
+        (0, "success", None, None), (1, "other", "x", "success"), (2, "duplicate", None, None),
+        (3, "duplicate", "x", "success"), (4, "duplicate", "x", "other"), (5, "duplicate", "x", None),
+    )
+    outcome = order_outcome(F.col("first"), F.col("crm_id"), F.col("again"))
+    out = [r["c"] for r in orders.select("i", outcome.alias("c")).orderBy("i").collect()]
+    assert out == ["success", "err-other", "success", "success", "err-update", "err-update"]
+
+
 @pytest.mark.parametrize(
     ("as_of", "days", "first", "last"),
     [

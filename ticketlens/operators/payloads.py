@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketlens.functions import clean_email, product_name, repair_quotes, strip_space
-from ticketlens.operators.lookups import with_venue_lookup
+from ticketlens.operators.lookups import plan_contact_push, with_venue_lookup
 
 ORDER_KEYS = ["venue_id", "email", "orderNumber"]
 
@@ -168,19 +168,24 @@ def contact_payloads(
     field_map: Mapping[str, str] | None = None,
     null_text: str = "",
     with_list: bool = True,
+    crm_ids: DataFrame | None = None,
 ) -> DataFrame:
     """Payloads of the contacts that are ready to push.
 
-    ``with_list`` also subscribes the contact to the list of its home venue.
+    ``with_list`` also subscribes the contact to the list of its home venue. With
+    ``crm_ids`` (email, crm_id) known contacts are edited by their id and others added;
+    without, all are edited.
     """
     ready = contact_push_plan(wide, lists, with_list).where(F.col("plan") == "ready")
+    if crm_ids is not None:
+        ready = plan_contact_push(ready, crm_ids)
 
     def name(column: str) -> Column:
         return F.coalesce(F.col(column), F.lit(null_text))
 
     head = F.create_map(
         F.lit("api_action"),
-        F.lit("contact_edit"),
+        F.lit("contact_edit") if crm_ids is None else F.col("action"),
         F.lit("api_output"),
         F.lit("json"),
         F.lit("email"),
@@ -194,14 +199,40 @@ def contact_payloads(
     )
     parts = [head, contact_field_values(field_map, null_text)]
     if with_list:
-        parts.append(F.create_map(F.concat(F.lit("p["), F.col("list_id"), F.lit("]")), F.col("list_id")))
+        parts.append(_list_entry())
+    if crm_ids is not None:
+        nothing = F.create_map().cast("map<string,string>")
+        parts.append(F.when(F.col("crm_id").isNull(), nothing).otherwise(F.create_map(F.lit("id"), F.col("crm_id"))))
     return ready.select(
         "email_address", "home_venue", "list_id", F.to_json(F.map_concat(*parts)).alias("payload")
     )
 
 
-def mobile_payloads(resolved: DataFrame) -> DataFrame:
-    """Payloads that set the mobile number and the resolved opt-in status."""
+def _list_entry() -> Column:
+    return F.create_map(F.concat(F.lit("p["), F.col("list_id"), F.lit("]")), F.col("list_id"))
+
+
+def mobile_push_plan(resolved: DataFrame, crm_lists: DataFrame) -> DataFrame:
+    """Adds ``crm_id``, ``list_id`` and ``plan``: ready, err_list (no list) or err_other (not in the CRM).
+
+    ``crm_lists`` is (email, crm_id, list_id), as the CRM gives them; of several lists of
+    a contact the lowest counts.
+    """
+    found = plan_contact_push(resolved, crm_lists.select("email", "crm_id")).drop("action")
+    lists = crm_lists.where(F.col("list_id").isNotNull()).groupBy("crm_id").agg(F.min("list_id").alias("list_id"))
+    plan = F.when(F.col("crm_id").isNull(), "err_other").when(F.col("list_id").isNull(), "err_list").otherwise("ready")
+    return found.join(lists, "crm_id", "left").withColumn("plan", plan)
+
+
+def mobile_payloads(resolved: DataFrame, crm_lists: DataFrame | None = None) -> DataFrame:
+    """Payloads that set the mobile number and the resolved opt-in status.
+
+    With ``crm_lists`` only contacts that :func:`mobile_push_plan` finds ready, with their id and list.
+    """
+    extra = []
+    if crm_lists is not None:
+        resolved = mobile_push_plan(resolved, crm_lists).where("plan = 'ready'")
+        extra = [F.create_map(F.lit("id"), F.col("crm_id")), _list_entry()]
     fields = F.create_map(
         F.lit("api_action"),
         F.lit("contact_edit"),
@@ -216,7 +247,8 @@ def mobile_payloads(resolved: DataFrame) -> DataFrame:
         F.lit("field[%MOBILE_OPTIN%,0]"),
         F.col("mobile_optin"),
     )
-    return resolved.select("email_address", "mobile_number", "mobile_optin", F.to_json(fields).alias("payload"))
+    payload = F.to_json(F.map_concat(fields, *extra))
+    return resolved.select("email_address", "mobile_number", "mobile_optin", payload.alias("payload"))
 
 
 def tag_payloads(assignments: DataFrame, crm_ids: DataFrame) -> DataFrame:

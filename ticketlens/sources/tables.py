@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -72,7 +74,7 @@ def read_version(spark: SparkSession, root: str, schema: StructType | None = Non
     return spark.createDataFrame([], schema)
 
 
-def write_version(df: DataFrame, root: str) -> int:
+def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
     """Write the next version next to the current one and return its number.
 
     The old version stays readable while the new one is computed from it, and a job
@@ -81,7 +83,7 @@ def write_version(df: DataFrame, root: str) -> int:
     """
     versions = _versions(df.sparkSession, root)
     number = versions[-1] + 1 if versions else 0
-    df.write.mode("overwrite").parquet(f"{root}/version={number}")
+    df.write.mode("overwrite").parquet(f"{root}/version={number}", partitionBy=list(partition_by) or None)
     return number
 
 
