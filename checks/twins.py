@@ -184,7 +184,8 @@ _CTES: dict[str, str] = {
         round(sum(l.ticket_price)::DECIMAL(30,2) / 100)::BIGINT AS total_revenue
         FROM orders_p o JOIN t_lines l ON l.order_number = o.order_number WHERE o.not_comped = 1 GROUP BY 1""",
     "wide": f"""SELECT c.email_address, c.name AS cust_name, c.name_first AS cust_name_first,
-        c.name_last AS cust_name_last, {_digits('sp.phone')} AS phone, total_revenue, last_ordered_date,
+        c.name_last AS cust_name_last,
+        CASE WHEN sp.phone IS NULL OR sp.phone = '' THEN sp.phone ELSE {_digits('sp.phone')} END AS phone, total_revenue, last_ordered_date,
         first_show_attended, first_event_title, first_event_venue, last_show_attended, last_event_title,
         last_event_venue, next_show_attending, next_event_title, next_event_venue, avg_tickets_per_order,
         round(avg_purchase_to_show_days)::INT AS avg_purchase_to_show_days,
