@@ -11,7 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import bpe, chat, digests, lines, packing, quality, simhash, suffix_tree, token_counts, vectors
+from ticketlens.llm import (
+    alignment,
+    bpe,
+    chat,
+    digests,
+    lines,
+    packing,
+    pq_bpe,
+    quality,
+    simhash,
+    suffix_tree,
+    token_counts,
+    vectors,
+)
 from ticketlens.llm.common import remainder
 
 
@@ -146,6 +159,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.align(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op13_pq_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    path = path or _tokenizer("byte_bpe_50k.json")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pq_bpe.decode(pq_bpe.encode(docs, path, out="_ids"), path, "_ids", out="_decoded")
+    return coded.select(
+        "doc_id",
+        F.size("_ids").cast("long").alias("n_tokens"),
+        F.sha2(pq_bpe.le_uint32(F.col("_ids")), 256).alias("ids_sha256"),
+        F.sha2(F.col("_decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if top not in sys.path:
