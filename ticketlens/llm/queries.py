@@ -20,6 +20,7 @@ from ticketlens.llm import (
     packing,
     pq_bpe,
     quality,
+    repair,
     simhash,
     suffix_tree,
     token_counts,
@@ -164,6 +165,10 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return alignment.align(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(_table(spark, sf_dir, "conversations"))
+
+
 def op13_pq_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     path = path or _tokenizer("byte_bpe_50k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
