@@ -65,7 +65,15 @@ def table_exists(spark: SparkSession, root: str) -> bool:
 
 
 def read_version(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
-    """The newest complete version; with a schema, an empty table before the first."""
+    """The newest complete version; with a schema, an empty table before the first.
+
+    Tables that upserts keep in buckets are read through their newest manifest.
+    """
+    from ticketlens.sources import buckets
+
+    if buckets.is_bucketed(spark, root):
+        table = buckets.read_table(spark, root)
+        return table if schema is None else table.select(*schema.fieldNames())
     versions = _versions(spark, root)
     if versions:
         return load_table(spark, f"{root}/version={versions[-1]}", schema)

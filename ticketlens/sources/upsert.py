@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ticketlens.operators.skew import join_on_keys, one_per_key
-from ticketlens.sources.tables import read_version, write_version
+from ticketlens.sources import buckets
 
 
 def newest_per_key(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
@@ -47,9 +47,17 @@ def upsert_table(
     keys: list[str],
     schema: StructType,
     newest_first: list[Column] | None = None,
+    keep: int = 2,
 ) -> int:
-    """Upsert into a versioned table and return the new version's number."""
-    return write_version(upsert(read_version(spark, root, schema), updates, keys, newest_first), root)
+    """Upsert into a table stored in hash buckets and return the new version's number.
+
+    Only the buckets that receive updates are read and rewritten (:mod:`ticketlens.sources.buckets`);
+    without ``newest_first`` the update that comes last in the input wins. The newest ``keep``
+    versions stay readable; older manifests and file sets that no kept version names are deleted.
+    """
+    version = buckets.upsert(spark, root, updates, keys, schema, newest_first)
+    buckets.expire(spark, root, keep)
+    return version
 
 
 def update_existing(
