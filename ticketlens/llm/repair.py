@@ -256,12 +256,14 @@ def damage(conversations: DataFrame) -> DataFrame:
     return hurt
 
 
-ORDER = [F.col("_turn").asc_nulls_first(), F.col("_role"), F.col("_text"), F.col("_copy")]
+def _order() -> list:
+    """Order of rows within a conversation: turn (nulls first), then role, text and copy."""
+    return [F.col("_turn").asc_nulls_first(), F.col("_role"), F.col("_text"), F.col("_copy")]
 
 
 def faults(rows: DataFrame) -> DataFrame:
     """``_fault``: 'blank', 'duplicate', 'truncated' or null (the first that applies), ``_cls``: symbol class."""
-    seen = Window.partitionBy("_nul", "_cv", "_role", "_text").orderBy(*ORDER)
+    seen = Window.partitionBy("_nul", "_cv", "_role", "_text").orderBy(*_order())
     blank = ~F.col("_text").rlike(_NO_BLANK)
     last = F.regexp_extract("_text", f"({_NO_BLANK})[{_escaped(BLANKS)}]*$", 1)
     fault = (
@@ -290,7 +292,7 @@ def repair(conversations: DataFrame, rules: int = RULES) -> DataFrame:
     rows = store(faults(damage(conversations)), "repair_rows")
     conv_type = conversations.schema["conv_id"].dataType.simpleString()
 
-    order = Window.partitionBy("_nul", "_cv").orderBy(*ORDER)
+    order = Window.partitionBy("_nul", "_cv").orderBy(*_order())
     pair = F.concat(F.lag(F.substring("_role", 1, 1)).over(order), F.substring("_role", 1, 1))
     counted = (
         rows.withColumn("_bad", (pair.isNotNull() & ~pair.isin("su", "ua", "au")).cast("long"))
@@ -304,7 +306,7 @@ def repair(conversations: DataFrame, rules: int = RULES) -> DataFrame:
         )
     )
 
-    keys = [F.col("_nul"), F.col("_cv"), *ORDER]
+    keys = [F.col("_nul"), F.col("_cv"), *_order()]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Contiguous ranges of the order, numbered: a long conversation spans several parts, each part one task's rows.
     placed = store(
@@ -316,9 +318,10 @@ def repair(conversations: DataFrame, rules: int = RULES) -> DataFrame:
     in_parts = placed.repartition("_part").sortWithinPartitions("_seq")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))  # one task's rows: bounded by the range partitioning
-        if not table.num_rows:
+        held = list(batches)  # one task's rows: bounded by the range partitioning
+        if not held or not sum(b.num_rows for b in held):
             return
+        table = pa.Table.from_batches(held)
         nul = table.column("_nul").to_numpy()
         cv = table.column("_cv").to_numpy()
         cls = table.column("_cls").to_pylist()
