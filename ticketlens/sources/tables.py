@@ -67,10 +67,14 @@ def table_exists(spark: SparkSession, root: str) -> bool:
 def read_version(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
     """The newest complete version; with a schema, an empty table before the first.
 
-    Tables that upserts keep in buckets are read through their newest manifest.
+    Tables that upserts keep in buckets are read through their newest manifest, tables that streams
+    keep as a delta log by merging their deltas on read.
     """
-    from ticketlens.sources import buckets
+    from ticketlens.sources import buckets, deltas
 
+    if deltas.is_log(spark, root):
+        table = deltas.read_merged(spark, root)
+        return table if schema is None else table.select(*schema.fieldNames())
     if buckets.is_bucketed(spark, root):
         table = buckets.read_table(spark, root)
         return table if schema is None else table.select(*schema.fieldNames())

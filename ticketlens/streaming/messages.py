@@ -11,8 +11,7 @@ from ticketlens.functions import wall_clock
 from ticketlens.operators.sms import clean_messages, emails_by_number, fill_email, message_email, sms_subscribers
 from ticketlens.schemas import MESSAGE_JSON, MESSAGES, SUBSCRIBERS
 from ticketlens.semantics import STOP_PATTERN
-from ticketlens.sources.tables import read_version, write_version
-from ticketlens.sources.upsert import upsert
+from ticketlens.sources import deltas
 
 # Request parameter of each message column.
 MESSAGE_FIELDS = {
@@ -82,16 +81,21 @@ def stream_sms_subscribers(
     stop_pattern: str = STOP_PATTERN,
     crm_contacts: DataFrame | None = None,
     wide: DataFrame | None = None,
+    compact_every: int = 16,
 ) -> StreamingQuery:
-    """Keep the versioned subscriber table up to date from a message stream.
+    """Keep the subscriber table at ``root`` up to date from a message stream, as a delta log.
 
-    Each micro-batch brings the full current row of every number it touched, so
-    replacing rows by number is safe to replay.
+    Each micro-batch brings the full current row of every number it touched and appends only
+    these rows (:mod:`ticketlens.sources.deltas`); readers keep the latest batch's row of a number.
+    After ``compact_every`` pending batches the log is folded into a new base. A replayed batch
+    finds its delta written and adds nothing.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        current = read_version(batch.sparkSession, root, SUBSCRIBERS)
-        write_version(upsert(current, batch, ["mobile_number"]), root)
+        spark = batch.sparkSession
+        deltas.append(batch, root, batch_id, ["mobile_number"], SUBSCRIBERS)
+        if deltas.pending(spark, root) >= compact_every:
+            deltas.compact(spark, root)
 
     return (
         subscriber_stream(messages, stop_pattern, crm_contacts, wide)
