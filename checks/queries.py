@@ -29,6 +29,7 @@ from ticketlens.schemas import CONTACTS, CRM_CONTACTS, EVENTS, MESSAGES, ORDERLI
 from ticketlens.sources import export, json_api
 from ticketlens.sources import tables as store
 from ticketlens.sources import marks as mk
+from ticketlens.sources import runs
 from ticketlens.sources.scratch import scratch_dir
 from ticketlens.sources import upsert as up
 from ticketlens.streaming import messages as sm
@@ -263,6 +264,20 @@ def run_incremental(t: TestTables) -> DataFrame:
     return store.load_table(t.spark, sink)
 
 
+@query
+def run_job_windows(t: TestTables) -> DataFrame:
+    """Two runs whose output and mark are one commit each; all published outputs see every row once."""
+    root = _scratch(t, "runs")
+
+    def work(mark, upper) -> dict[str, DataFrame]:
+        fresh = selection.after_mark(F.col("sys_entry_date"), mark, upper)
+        return {"orders_seen": t.orders().where(fresh).select("id", "sys_entry_date")}
+
+    for upper in (MARK, AS_OF, MARK):  # the last run lies before the mark and publishes nothing
+        runs.run_job(t.spark, root, "orders", upper, work, default=CUTOFF)
+    return runs.read_output(t.spark, root, "orders", "orders_seen", all_runs=True)
+
+
 @query
 def read_orders_json(t: TestTables) -> DataFrame:
     path = _scratch(t, "orders-json")

@@ -323,6 +323,8 @@ TWINS: dict[str, str] = {
         connection::INT AS connection, crm_customer_id::BIGINT AS crm_customer_id FROM pushed""",
     "run_incremental": f"""SELECT id, sys_entry_date::VARCHAR AS sys_entry_date FROM t_orders
         WHERE sys_entry_date > TIMESTAMP '{CUTOFF}' AND sys_entry_date <= TIMESTAMP '{AS_OF}'""",
+    "run_job_windows": f"""SELECT id, sys_entry_date::VARCHAR AS sys_entry_date FROM t_orders
+        WHERE sys_entry_date > TIMESTAMP '{CUTOFF}' AND sys_entry_date <= TIMESTAMP '{AS_OF}'""",
     "read_orders_json": f"SELECT venue_id, show_key::VARCHAR AS show_id, {_SIGHTING_ORDER} FROM t_sightings",
     "read_catalog_json": """SELECT s.id AS show_id, e.id AS event_id, e.venue_id, e.name, e.logo_url
         FROM t_shows s JOIN t_events e ON e.id = s.event_id""",
