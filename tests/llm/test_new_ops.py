@@ -156,6 +156,8 @@ def test_cut_groups_split_at_every_common_end():
         groups = alignment.cut_groups(a, b)
         assert len(groups) == len(set(a) & set(b))
         assert [a[g[1] - 1] for g in groups] == sorted(set(a) & set(b))
+        a_last, b_last = alignment.cut_levels(np.array(a), np.array(b))
+        assert a_last.tolist() == [g[1] - 1 for g in groups] and b_last.tolist() == [g[3] - 1 for g in groups]
 
 
 # --- op12 -------------------------------------------------------------------------------------
@@ -272,3 +274,15 @@ def test_rules_share_without_changing_results():
 def test_repair_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert repair.repair(empty).count() == 0
+
+
+def test_quality_fit_stays_bounded_with_repeated_ids(spark, monkeypatch):
+    from ticketlens.llm import quality
+
+    docs = spark.createDataFrame([(1, f"text number {i}.") for i in range(300)] + [(2, "other.")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda examples, width: seen.append(len(examples)))
+    quality.train(docs, labels, max_rows=1)
+    quality.train(docs, labels, max_rows=5)
+    assert seen == [1, 5]

@@ -7,8 +7,9 @@ piece in UTF-8 with U+2581 as a space and ``<0xHH>`` as the byte HH.
 
 A cut is a byte offset at which an A token and a B token both end. An interval between two cuts is
 split at a common end near its middle, found by bisecting B's ends for A's ends walked outward from
-the middle; both halves are split alike, and an interval without an inner cut is a leaf group. Links
-are the pairs of A and B tokens of a group whose byte ranges overlap (a two-pointer walk). An id
+the middle; both halves are split alike, and an interval without an inner cut is a leaf group (all
+intervals of one level at once, as arrays). Links are the pairs of A and B tokens whose byte ranges
+overlap: each elementary byte segment between consecutive token ends gives one. An id
 pair's count is the number of documents (rows) holding it linked, over the whole table; a link is
 best when its count is the highest of all pairs of its A id, ties included.
 
@@ -21,12 +22,13 @@ are dropped and cannot clash; an empty table gives an empty table; long texts ar
 from __future__ import annotations
 
 import hashlib
+import uuid
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,71 +88,143 @@ def _outward(low: int, high: int, middle: int) -> Iterator[int]:
             yield middle - d
 
 
-def links(a_ends: list[int], b_ends: list[int], group: tuple[int, int, int, int]) -> Iterator[tuple[int, int]]:
-    """Index pairs of overlapping A and B tokens of one group."""
-    a0, a1, b0, b1 = group
-    i, j = a0, b0
-    while i < a1 and j < b1:
-        yield i, j
-        if a_ends[i] < b_ends[j]:
-            i += 1
-        elif b_ends[j] < a_ends[i]:
-            j += 1
-        else:
-            i, j = i + 1, j + 1
-
-
-def align_text(text: str, encoder: Encoder, a_bytes: list[bytes], b_ids: list[int], b_bytes: list[bytes]):
-    """(n_a, n_b, n_groups, groups text, Counter of linked id pairs) of one text; no tokens: zeros."""
-    if not text:
-        return 0, 0, 0, "", Counter()
-    want = (" " + text).encode()
-    a_ids = encoder.encode(" " + text).tolist()
-    a_parts = [a_bytes[i] for i in a_ids]
-    b_parts = [b_bytes[i] for i in b_ids]
-    if b"".join(a_parts) != want or b"".join(b_parts) != want:
-        return 0, 0, 0, "", Counter()
-    a_ends = np.cumsum([len(p) for p in a_parts]).tolist()
-    b_ends = np.cumsum([len(p) for p in b_parts]).tolist()
-    groups = cut_groups(a_ends, b_ends)
-    said = ";".join(
-        ",".join(map(str, a_ids[a0:a1])) + "|" + ",".join(map(str, b_ids[b0:b1])) for a0, a1, b0, b1 in groups
-    )
-    pairs = Counter((a_ids[i], b_ids[j]) for g in groups for i, j in links(a_ends, b_ends, g))
-    return len(a_ids), len(b_ids), len(groups), said, pairs
+def cut_levels(a_ends: np.ndarray, b_ends: np.ndarray, lo: np.ndarray | None = None, hi: np.ndarray | None = None):
+    """The same leaf groups as :func:`cut_groups`, all intervals of a level split at once.
+
+    ``lo``/``hi`` are the A token ranges of the starting intervals (default: one over all), whose
+    last ends must be common. Returns, per leaf group in order, the index of its last A token and of
+    its last B token. The common ends are located by one bisection of B's ends for all of A's; then
+    every interval of a level takes the inner common end nearest its middle (the right one on a tie),
+    until no interval has one.
+    """
+    j = np.searchsorted(b_ends, a_ends)
+    common = np.flatnonzero((j < len(b_ends)) & (b_ends[np.minimum(j, len(b_ends) - 1)] == a_ends))
+    lo = np.array([0]) if lo is None else lo
+    hi = np.array([len(a_ends)]) if hi is None else hi
+    first = np.searchsorted(common, lo)
+    stop = np.searchsorted(common, hi - 1)  # inner cuts of an interval: common[first:stop]
+    leaves_hi = []
+    while len(lo):
+        leaf = first >= stop
+        leaves_hi.append(hi[leaf])
+        lo, hi, first, stop = lo[~leaf], hi[~leaf], first[~leaf], stop[~leaf]
+        middle = (lo + hi - 2) // 2
+        right = np.clip(np.searchsorted(common, middle), first, stop - 1)
+        left = np.maximum(right - 1, first)
+        at = np.where(middle - common[left] < common[right] - middle, left, right)
+        pick = common[at]
+        lo, hi = np.concatenate([lo, pick + 1]), np.concatenate([pick + 1, hi])
+        first, stop = np.concatenate([first, at + 1]), np.concatenate([at, stop])
+    a_last = np.sort(np.concatenate(leaves_hi)) - 1
+    return a_last, j[a_last]
+
+
+class Aligner:
+    """Aligns batches of texts; holds both vocabularies' token sizes and one worker's A encoder."""
+
+    def __init__(self, vocabulary: Vocabulary, b_bytes: list[bytes]) -> None:
+        self.encoder = Encoder(vocabulary, split_added=False)
+        self.a_bytes, self.b_bytes = vocabulary.token_bytes, b_bytes
+        self.a_sizes = np.array([len(t) for t in self.a_bytes], np.int64)
+        self.b_sizes = np.array([len(t) for t in b_bytes], np.int64)
+        self.a_bits = max(1, (len(self.a_bytes) - 1).bit_length())
+        self.b_bits = max(1, (len(b_bytes) - 1).bit_length())
+
+    def batch(self, texts: list[str | None], b_lists: list[list[int]]) -> dict[str, list]:
+        """Per text: n_a, n_b, n_groups, groups_sha256 and the linked id pairs (la, lb, ln) with their counts."""
+        n = len(texts)
+        n_a, n_b, n_groups = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        a_parts, b_parts, docs = [], [], []
+        for d, (text, b_ids) in enumerate(zip(texts, b_lists)):
+            if not text or not b_ids:
+                continue
+            want = (" " + text).encode()
+            a = self.encoder.encode(" " + text).astype(np.int64)
+            b = np.asarray(b_ids, np.int64)
+            if int(self.a_sizes[a].sum()) != len(want) or b"".join([self.b_bytes[i] for i in b_ids]) != want:
+                continue  # A's bytes are the text's by construction; B's may differ (unknown pieces)
+            a_parts.append(a)
+            b_parts.append(b)
+            docs.append(d)
+        hashes = [""] * n
+        empty = np.empty(0, np.int64)
+        la, lb, ln = [empty] * n, [empty] * n, [empty] * n
+        if docs:
+            self._aligned(np.array(docs), a_parts, b_parts, n_a, n_b, n_groups, hashes, la, lb, ln)
+        return {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "groups_sha256": hashes, "la": la, "lb": lb, "ln": ln}
+
+    def _aligned(self, docs, a_parts, b_parts, n_a, n_b, n_groups, hashes, la, lb, ln) -> None:
+        a, b = np.concatenate(a_parts), np.concatenate(b_parts)
+        a_count = np.array([len(x) for x in a_parts])
+        b_count = np.array([len(x) for x in b_parts])
+        n_a[docs], n_b[docs] = a_count, b_count
+        a_hi, b_hi = np.cumsum(a_count), np.cumsum(b_count)
+        # Ends over the whole batch: texts follow each other, and every text's last end is common.
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        a_last, b_last = cut_levels(a_ends, b_ends, a_hi - a_count, a_hi)
+        n_groups[docs] = np.diff(np.searchsorted(a_last, a_hi - 1, side="right"), prepend=0)
+        # Links: each elementary byte segment between consecutive ends lies in one A and one B token.
+        ends = np.union1d(a_ends, b_ends)
+        at_a, at_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        owner = np.repeat(np.arange(len(docs)), a_count)[at_a]
+        keys = (owner << (self.a_bits + self.b_bits)) | (a[at_a] << self.b_bits) | b[at_b]
+        keys, counts = np.unique(keys, return_counts=True)
+        of = keys >> (self.a_bits + self.b_bits)
+        bounds = np.searchsorted(of, np.arange(len(docs) + 1))
+        ids_a = (keys >> self.b_bits) & ((1 << self.a_bits) - 1)
+        ids_b = keys & ((1 << self.b_bits) - 1)
+        for k, d in enumerate(docs.tolist()):
+            s, e = bounds[k], bounds[k + 1]
+            la[d], lb[d], ln[d] = ids_a[s:e], ids_b[s:e], counts[s:e]
+        # Groups text of each text: its groups' A ids, '|', B ids; groups joined by ';'.
+        a_closes, b_closes = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        a_closes[a_last], b_closes[b_last] = 1, 1
+        a_group, b_group = np.cumsum(a_closes) - a_closes, np.cumsum(b_closes) - b_closes
+        order = np.argsort(np.concatenate([a_group * 2, b_group * 2 + 1]), kind="stable")
+        a_sep, b_sep = np.zeros(len(a), np.int8), np.zeros(len(b), np.int8)  # codes of ",", "|", ";", ""
+        a_sep[a_last], b_sep[b_last] = 1, 2
+        b_sep[b_hi - 1] = 3
+        separators = pa.array([",", "|", ";", ""]).take(pa.array(np.concatenate([a_sep, b_sep])))
+        words = pc.binary_join_element_wise(pc.cast(pa.array(np.concatenate([a, b])), pa.string()), separators, "")
+        words = words.take(pa.array(order))
+        offsets = np.concatenate([[0], np.cumsum(a_count + b_count)]).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), words), "")
+        for d, said in zip(docs.tolist(), joined.to_pylist()):
+            hashes[d] = hashlib.sha256(said.encode()).hexdigest()
+
+
+def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    values = np.concatenate(arrays) if len(arrays) else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(kind.to_pandas_dtype()), kind))
+
+
+# One aligner per Python worker and broadcast, so that the A encoder's memory outlives a task.
+_ALIGNERS: dict[str, Aligner] = {}
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) for every row of ``docs``."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast((Vocabulary(a_path), piece_bytes(b_path), b_path))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, Vocabulary(a_path), piece_bytes(b_path), b_path))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
-        vocabulary, b_bytes, path = shared.value
+        key, vocabulary, b_bytes, path = shared.value
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        encoder = Encoder(vocabulary, split_added=False)
+        aligner = _ALIGNERS.get(key) or _ALIGNERS.setdefault(key, Aligner(vocabulary, b_bytes))
         for batch in batches:
             texts = batch.column("_al_text").to_pylist()
-            b_all = model.encode([t or "" for t in texts])
-            cols = {k: [] for k in ("n_a", "n_b", "n_groups", "groups_sha256", "la", "lb", "ln")}
-            for text, b_ids in zip(texts, b_all):
-                n_a, n_b, n_groups, said, pairs = align_text(text or "", encoder, vocabulary.token_bytes, b_ids, b_bytes)
-                for key, value in zip(("n_a", "n_b", "n_groups"), (n_a, n_b, n_groups)):
-                    cols[key].append(value)
-                cols["groups_sha256"].append(hashlib.sha256(said.encode()).hexdigest() if n_a else "")
-                cols["la"].append([a for a, _ in pairs])
-                cols["lb"].append([b for _, b in pairs])
-                cols["ln"].append(list(pairs.values()))
+            found = aligner.batch(texts, model.encode([t or "" for t in texts]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_al_row"), batch.column("_al_id")]
-                + [pa.array(cols[k], pa.int64()) for k in ("n_a", "n_b", "n_groups")]
-                + [pa.array(cols["groups_sha256"], pa.string())]
-                + [pa.array(cols[k], pa.list_(pa.int32())) for k in ("la", "lb")]
-                + [pa.array(cols["ln"], pa.list_(pa.int64()))],
+                + [pa.array(found[k], pa.int64()) for k in ("n_a", "n_b", "n_groups")]
+                + [pa.array(found["groups_sha256"], pa.string())]
+                + [_lists(found[k], pa.int32()) for k in ("la", "lb")]
+                + [_lists(found["ln"], pa.int64())],
                 ["_al_row", "_al_id", "n_a", "n_b", "n_groups", "groups_sha256", "la", "lb", "ln"],
             )
 
