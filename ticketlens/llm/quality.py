@@ -176,10 +176,11 @@ def train(
     where: Column | None = None,
     max_rows: int = MAX_ROWS,
 ) -> Model:
-    """Fit on at most ``max_rows`` label rows (``where`` limits them), by hash of the id.
+    """Fit on at most ``max_rows`` labelled documents (``where`` limits them), by hash of the id.
 
     Only the sampled rows' features reach the driver: at most ``max_rows`` vectors of at most
-    ``WORD_BUCKETS`` entries; their ids are few enough to be broadcast.
+    ``WORD_BUCKETS`` entries, also when ids repeat among the documents (the bound is applied after
+    the join, by hash of id and text); the sampled ids are at most ``max_rows`` and are broadcast.
     """
     bounded_batches(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -191,7 +192,9 @@ def train(
     )
     picked = chosen.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
     columns = [utf8(text_col).alias("_text"), *[F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(metadata)]]
-    rows = docs.select(F.col(id_col).alias("_id"), *columns).join(F.broadcast(picked), "_id").drop("_id")
+    joined = docs.select(F.col(id_col).alias("_id"), *columns).join(F.broadcast(picked), "_id")
+    # Repeated ids in the documents would multiply the picked rows: the bound holds after the join.
+    rows = joined.orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text"), "_text", "_label").limit(max_rows).drop("_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
