@@ -39,6 +39,7 @@ ACCEPT = (0, 3)
 MUST_DELETE = 0
 _CLASSES = "suao"
 _NO_BLANK = "[^\\x20\\x09-\\x0D]"
+LEGAL = ("su", "ua", "au")  # adjacent role initials that are not counted as illegal
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
@@ -292,17 +293,13 @@ def repair(conversations: DataFrame, rules: int = RULES) -> DataFrame:
     rows = store(faults(damage(conversations)), "repair_rows")
     conv_type = conversations.schema["conv_id"].dataType.simpleString()
 
-    order = Window.partitionBy("_nul", "_cv").orderBy(*_order())
-    pair = F.concat(F.lag(F.substring("_role", 1, 1)).over(order), F.substring("_role", 1, 1))
     counted = (
-        rows.withColumn("_bad", (pair.isNotNull() & ~pair.isin("su", "ua", "au")).cast("long"))
-        .groupBy("_nul", "_cv")
+        rows.groupBy("_nul", "_cv")
         .agg(
             F.coalesce(F.max("_turn") - F.min("_turn") + 1 - F.countDistinct("_turn"), F.lit(0)).cast("long").alias("gaps"),
             F.sum((F.col("_fault") == "blank").cast("long")).alias("blank"),
             F.sum((F.col("_fault") == "duplicate").cast("long")).alias("duplicate"),
             F.sum((F.col("_fault") == "truncated").cast("long")).alias("truncated"),
-            F.sum("_bad").alias("illegal"),
         )
     )
 
@@ -332,6 +329,10 @@ def repair(conversations: DataFrame, rules: int = RULES) -> DataFrame:
         starts = np.concatenate([[0], change])
         ends = np.concatenate([change, [len(syms)]])
         found = repair_pieces([syms[a:b] for a, b in zip(starts, ends)], rules)
+        initials = [r[:1] for r in table.column("_role").to_pylist()]
+        bad = np.array([0] + [a + b not in LEGAL for a, b in zip(initials, initials[1:])], np.int64)
+        bad[starts] = 0  # a pair across two conversations or pieces is counted when pieces are combined
+        illegal = np.add.reduceat(bad, starts) if len(starts) else bad[:0]
         costs = [[-1 if m[p][q] is None else m[p][q][0] for p in range(STATES) for q in range(STATES)] for m in found]
         audits = [["" if m[p][q] is None else _text(m[p][q][1]) for p in range(STATES) for q in range(STATES)] for m in found]
         yield pa.RecordBatch.from_arrays(
@@ -341,11 +342,14 @@ def repair(conversations: DataFrame, rules: int = RULES) -> DataFrame:
                 table.column("_part").take(pa.array(starts)).combine_chunks(),
                 pa.array(costs, pa.list_(pa.int64())),
                 pa.array(audits, pa.list_(pa.string())),
+                pa.array(illegal, pa.int64()),
+                pa.array([initials[a] for a in starts], pa.string()),
+                pa.array([initials[b - 1] for b in ends], pa.string()),
             ],
-            ["_nul", "_cv", "_part", "costs", "audits"],
+            ["_nul", "_cv", "_part", "costs", "audits", "_illegal", "_first", "_last"],
         )
 
-    matrices = in_parts.mapInArrow(pieces, f"_nul boolean, _cv {conv_type}, _part int, costs array<long>, audits array<string>")
+    matrices = in_parts.mapInArrow(pieces, f"_nul boolean, _cv {conv_type}, _part int, costs array<long>, audits array<string>, _illegal long, _first string, _last string")
 
     def combine(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("_part")
@@ -355,6 +359,8 @@ def repair(conversations: DataFrame, rules: int = RULES) -> DataFrame:
                 [[None if costs[p * STATES + q] < 0 else (int(costs[p * STATES + q]), audits[p * STATES + q]) for q in range(STATES)] for p in range(STATES)]
             )
         cost, audit, steps = choose(found)
+        edges = [a + b not in LEGAL for a, b in zip(frame["_last"].iloc[:-1], frame["_first"].iloc[1:])]
+        illegal = int(frame["_illegal"].sum()) + sum(edges)
         return pd.DataFrame(
             {
                 "_nul": frame["_nul"].values,
@@ -364,12 +370,13 @@ def repair(conversations: DataFrame, rules: int = RULES) -> DataFrame:
                 "_audit": [a for _, a in steps],
                 "cost": cost,
                 "audit": audit,
+                "illegal": illegal,
             }
         )
 
     chosen = store(
         matrices.groupBy("_nul", "_cv").applyInPandas(
-            combine, f"_nul boolean, _cv {conv_type}, _part int, _state int, _audit string, cost long, audit string"
+            combine, f"_nul boolean, _cv {conv_type}, _part int, _state int, _audit string, cost long, audit string, illegal long"
         ),
         "repair_choice",
     )
@@ -388,7 +395,7 @@ def repair(conversations: DataFrame, rules: int = RULES) -> DataFrame:
     # The digest is a sequence over the whole conversation: its pieces' texts meet in one row.
     in_order = F.transform(F.sort_array(F.collect_list(F.struct("_part", "_said"))), lambda x: x["_said"])
     digests = repaired.groupBy("_nul", "_cv").agg(F.sha2(F.concat_ws("\n", in_order), 256).alias("repaired_sha256"))
-    totals = chosen.groupBy("_nul", "_cv").agg(F.first("cost").alias("cost"), F.first("audit").alias("audit"))
+    totals = chosen.groupBy("_nul", "_cv").agg(F.first("cost").alias("cost"), F.first("audit").alias("audit"), F.first("illegal").alias("illegal"))
     ids = conversations.select(
         F.col("conv_id").isNull().alias("_nul"),
         F.coalesce(F.col("conv_id"), F.lit(0).cast(conversations.schema["conv_id"].dataType)).alias("_cv"),
