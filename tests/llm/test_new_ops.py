@@ -286,3 +286,21 @@ def test_quality_fit_stays_bounded_with_repeated_ids(spark, monkeypatch):
     quality.train(docs, labels, max_rows=1)
     quality.train(docs, labels, max_rows=5)
     assert seen == [1, 5]
+
+
+def test_chat_records_that_cannot_be_read_become_layout_null_turns():
+    from ticketlens.llm import chat
+
+    known, table = chat.mapping_table(chat.LAYOUTS)
+    odd = [
+        '{"turn": "1", "role": "user", "text": "hi"}',
+        '{"turn": 99999999999999999999999, "role": "user", "text": "hi"}',
+        '{"turn": 1.5, "role": "user", "text": "hi"}',
+        '{"turn": 1, "role": "user", "text": "\\ud800"}',
+        "[" * 5000 + "]" * 5000,
+        "not json",
+    ]
+    for payload in odd:
+        assert chat.read_record(payload, known, table) == [(0, "unknown", payload, None)]
+    mixed = chat.read_record('{"messages": [{"role": "user", "content": "a"}, 7, "x"]}', known, table)
+    assert [t[1:] for t in mixed[1:]] == [("unknown", "7", None), ("unknown", "x", None)] and mixed[0][3] is not None

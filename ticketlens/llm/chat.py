@@ -85,7 +85,25 @@ def _text(value: object) -> str:
 
 
 def read_record(payload: str, known: set[str], table: dict[str, dict]) -> list[tuple[int | None, str, str, str | None]]:
-    """(turn, role, text, layout) for every turn of a record."""
+    """(turn, role, text, layout) for every turn of a record.
+
+    A record that cannot be read whole (no JSON, no known layout, a turn that is no 64-bit integer,
+    text that is no valid Unicode, nesting too deep) is one layout-null turn holding the payload;
+    items of a message list that are no objects are layout-null turns of their own. Nothing is lost.
+    """
+    try:
+        found = _read_record(payload, known, table)
+        for turn, role, text, _ in found:
+            if turn is not None and (isinstance(turn, bool) or not isinstance(turn, int) or not -(1 << 63) <= turn < 1 << 63):
+                raise ValueError("turn is no 64-bit integer")
+            role.encode()
+            text.encode()
+        return found
+    except (ValueError, TypeError, KeyError, AttributeError, RecursionError, OverflowError, UnicodeError):
+        return [(0, "unknown", payload or "", None)]
+
+
+def _read_record(payload: str, known: set[str], table: dict[str, dict]) -> list[tuple[int | None, str, str, str | None]]:
     try:
         record = json.loads(payload)
         layout = table.get(_fingerprint(field_paths(record) & known)) if isinstance(record, dict) else None
@@ -96,8 +114,11 @@ def read_record(payload: str, known: set[str], table: dict[str, dict]) -> list[t
     name = layout["name"]
     if "each" in layout:
         top, role, text = layout["each"]
-        items = [m for m in record[top] or [] if isinstance(m, dict)]
-        return [(i, ROLES.get(r := _text(m.get(role)), r), _text(m.get(text)), name) for i, m in enumerate(items)]
+        items = record[top] or []
+        return [
+            (i, ROLES.get(r := _text(m.get(role)), r), _text(m.get(text)), name) if isinstance(m, dict) else (i, "unknown", _text(m), None)
+            for i, m in enumerate(items)
+        ]
     if "row" in layout:
         turn, role, text = (record[f] for f in layout["row"])
         return [(turn, _text(role), _text(text), name)]
