@@ -25,6 +25,7 @@ import hashlib
 import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ from pyspark.sql import functions as F
 from ticketlens.llm.common import bounded_batches, store
 from ticketlens.llm.pq_bpe import Encoder, Vocabulary
 
+# Bytes of text whose tokens one numpy pass aligns together.
+CHUNK = 1 << 20
 # Pair counts up to this many rows are sent to every task; larger tables are joined by shuffle.
 BROADCAST_PAIRS = 2_000_000
 
@@ -122,7 +125,8 @@ def cut_levels(a_ends: np.ndarray, b_ends: np.ndarray, lo: np.ndarray | None = N
 class Aligner:
     """Aligns batches of texts; holds both vocabularies' token sizes and one worker's A encoder."""
 
-    def __init__(self, vocabulary: Vocabulary, b_bytes: list[bytes]) -> None:
+    def __init__(self, vocabulary: Vocabulary, b_bytes: list[bytes], chunk: int = CHUNK) -> None:
+        self.chunk = chunk
         self.encoder = Encoder(vocabulary, split_added=False)
         self.a_bytes, self.b_bytes = vocabulary.token_bytes, b_bytes
         self.a_sizes = np.array([len(t) for t in self.a_bytes], np.int64)
@@ -134,21 +138,26 @@ class Aligner:
         """Per text: n_a, n_b, n_groups, groups_sha256 and the linked id pairs (la, lb, ln) with their counts."""
         n = len(texts)
         n_a, n_b, n_groups = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        a_parts, b_parts, docs = [], [], []
+        hashes = [""] * n
+        empty = np.empty(0, np.int64)
+        la, lb, ln = [empty] * n, [empty] * n, [empty] * n
+        a_parts, b_parts, docs, held = [], [], [], 0
         for d, (text, b_ids) in enumerate(zip(texts, b_lists)):
             if not text or not b_ids:
                 continue
             want = (" " + text).encode()
             a = self.encoder.encode(" " + text).astype(np.int64)
-            b = np.asarray(b_ids, np.int64)
-            if int(self.a_sizes[a].sum()) != len(want) or b"".join([self.b_bytes[i] for i in b_ids]) != want:
+            pieces = itemgetter(*b_ids)(self.b_bytes)
+            said = b"".join(pieces) if len(b_ids) > 1 else pieces
+            if int(self.a_sizes[a].sum()) != len(want) or said != want:
                 continue  # A's bytes are the text's by construction; B's may differ (unknown pieces)
             a_parts.append(a)
-            b_parts.append(b)
+            b_parts.append(np.asarray(b_ids, np.int64))
             docs.append(d)
-        hashes = [""] * n
-        empty = np.empty(0, np.int64)
-        la, lb, ln = [empty] * n, [empty] * n, [empty] * n
+            held += len(want)
+            if held >= self.chunk:  # the arrays of one pass stay small, a long text is still whole
+                self._aligned(np.array(docs), a_parts, b_parts, n_a, n_b, n_groups, hashes, la, lb, ln)
+                a_parts, b_parts, docs, held = [], [], [], 0
         if docs:
             self._aligned(np.array(docs), a_parts, b_parts, n_a, n_b, n_groups, hashes, la, lb, ln)
         return {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "groups_sha256": hashes, "la": la, "lb": lb, "ln": ln}
@@ -189,8 +198,10 @@ class Aligner:
         words = words.take(pa.array(order))
         offsets = np.concatenate([[0], np.cumsum(a_count + b_count)]).astype(np.int32)
         joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), words), "")
-        for d, said in zip(docs.tolist(), joined.to_pylist()):
-            hashes[d] = hashlib.sha256(said.encode()).hexdigest()
+        data, ends = joined.buffers()[2], np.frombuffer(joined.buffers()[1], np.int32)[joined.offset :]
+        view = memoryview(data) if data is not None else memoryview(b"")
+        for k, d in enumerate(docs.tolist()):
+            hashes[d] = hashlib.sha256(view[ends[k] : ends[k + 1]]).hexdigest()
 
 
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:

@@ -133,8 +133,12 @@ class Encoder:
             if k % 2:  # an added token's string
                 out.append(np.asarray([self.v.added[part]], np.int32).tobytes())
                 continue
+            known = self.known.get
             for block in pre_tokens(part):
-                out.extend(map(self.piece, block))
+                found = [known(p) for p in block]
+                if None in found:
+                    found = [f if f is not None else self.piece(p) for f, p in zip(found, block)]
+                out.extend(found)
         return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids) -> str:
