@@ -133,14 +133,29 @@ def stitch(rows: list[dict], chunk: int, merger: Merger) -> np.ndarray:
 
 
 def decode(spark: SparkSession, ids: str | Column, path: str) -> Column:
-    """The bytes that an array of ids stands for."""
-    shared = spark.sparkContext.broadcast(from_ranks(path)[1])
+    """The bytes that an array of ids stands for (null or empty arrays: empty bytes)."""
+    tokens = from_ranks(path)[1]
+    blob = np.frombuffer(b"".join(tokens), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
+    shared = spark.sparkContext.broadcast((blob, offsets))
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = shared.value
+        blob, offsets = shared.value
         for array in arrays:
-            found, ends = array.flatten().to_pylist(), np.cumsum(pc.fill_null(pc.list_value_length(array), 0))
-            said = [b"".join(map(tokens.__getitem__, found[a:b])) for a, b in zip([0, *ends[:-1]], ends)]
-            yield pa.array(said, pa.binary())
+            yield gather_bytes(array, blob, offsets)
 
     return F.arrow_udf(run, "binary")(ids)
+
+
+def gather_bytes(array: pa.Array, blob: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Per list of ids, its tokens' bytes joined: one gather from ``blob`` for the whole batch."""
+    found = array.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    if len(found) and (found.min() < 0 or found.max() >= len(offsets) - 1):
+        raise ValueError("an id lies outside the vocabulary")
+    sizes = offsets[found + 1] - offsets[found]
+    ends = np.cumsum(sizes)
+    at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(offsets[found] - (ends - sizes), sizes)
+    per_row = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(array), 0).to_numpy(zero_copy_only=False))])
+    rows = np.concatenate([[0], ends])[per_row.astype(np.int64)]
+    data = blob[at].tobytes()
+    return pa.Array.from_buffers(pa.binary(), len(array), [None, pa.py_buffer(rows.astype(np.int32)), pa.py_buffer(data)])
