@@ -24,12 +24,14 @@ from ticketlens.operators import ingest, marts, optin, payloads, quality, select
 from ticketlens.operators import processed as pr
 from ticketlens.operators import batches, lookups, skew
 from ticketlens.operators import customer360
+from ticketlens.operators import increments as inc
 from ticketlens.plans import rebuild
 from ticketlens.schemas import CONTACTS, CRM_CONTACTS, EVENTS, MESSAGES, ORDERLINES, ORDERS, SHOWS
 from ticketlens.sources import export, json_api
 from ticketlens.sources import tables as store
 from ticketlens.sources import marks as mk
 from ticketlens.sources import runs
+from ticketlens.sources import buckets as bk
 from ticketlens.sources.scratch import scratch_dir
 from ticketlens.sources import upsert as up
 from ticketlens.streaming import messages as sm
@@ -588,6 +590,66 @@ def total_spend(t: TestTables) -> DataFrame:
     return ft.total_spend(_places(t)[0], t.processed()["orderlines_processed"])
 
 
+# Purchase days at which orders arrive: before the first, then up to the second, then the rest.
+INCREMENT_DAYS = ("1997-08-23", "1999-08-27")
+
+
+def _lifetime_states(t: TestTables) -> DataFrame:
+    """Lifetime states kept by increments: a first load with phones missing, then two increments.
+
+    The second part restores the phones of the first (a retraction of every newest order that had
+    one) and adds orders up to the second day; the third adds the rest. The result must equal the
+    full features over all orders.
+    """
+    orders, shows, events, _ = _places(t)
+    counts, lines = _counts(t), t.processed()["orderlines_processed"]
+    facts = lambda o: inc.order_facts(o, shows, events, counts, lines)
+    day = F.col("purchase_date_formatted")
+    first, second = (F.lit(d).cast("date") for d in INCREMENT_DAYS)
+    parts = [
+        orders.where(day < first).withColumn("phone", F.lit(None).cast(orders.schema["phone"].dataType)),
+        orders.where((day < second) | day.isNull()),
+        orders,
+    ]
+    root = _scratch(t, "lifetime_states")
+    of = lambda now: lambda keys: facts(now.join(keys.select(F.col(inc.KEY).alias("email")), "email", "left_semi"))
+    inc.apply_changes(t.spark, root, None, facts(parts[0]), of(parts[0]))
+    for before, after in zip(parts, parts[1:]):
+        gone, came = inc.changed_orders(before, after)
+        inc.apply_changes(t.spark, root, facts(gone), facts(came), of(after))
+    return bk.read_table(t.spark, root)
+
+
+@query
+def incremental_ticket_lead_stats(t: TestTables) -> DataFrame:
+    return ft.of_contacts(inc.lifetime_features(_lifetime_states(t))["ticket_lead_stats"], t.contacts())
+
+
+@query
+def incremental_lifetime_stats_paid(t: TestTables) -> DataFrame:
+    return ft.of_contacts(inc.lifetime_features(_lifetime_states(t))["lifetime_stats_paid"], t.contacts())
+
+
+@query
+def incremental_lifetime_stats_comp(t: TestTables) -> DataFrame:
+    return ft.of_contacts(inc.lifetime_features(_lifetime_states(t))["lifetime_stats_comp"], t.contacts())
+
+
+@query
+def incremental_weekday_attendance(t: TestTables) -> DataFrame:
+    return inc.lifetime_features(_lifetime_states(t))["weekday_attendance"]
+
+
+@query
+def incremental_special_event_stats(t: TestTables) -> DataFrame:
+    return inc.lifetime_features(_lifetime_states(t))["special_event_stats"]
+
+
+@query
+def incremental_total_spend(t: TestTables) -> DataFrame:
+    return inc.lifetime_features(_lifetime_states(t))["total_spend"]
+
+
 @query
 def sms_subscribers(t: TestTables) -> DataFrame:
     return _subscribers(t)

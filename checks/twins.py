@@ -427,6 +427,12 @@ TWINS: dict[str, str] = {
     "recency_spend": "SELECT * FROM f_recency",
     "special_event_stats": "SELECT * FROM f_special",
     "total_spend": "SELECT * FROM f_spend",
+    "incremental_ticket_lead_stats": "SELECT * FROM f_lead",
+    "incremental_lifetime_stats_paid": "SELECT * FROM f_paid",
+    "incremental_lifetime_stats_comp": "SELECT * FROM f_comp",
+    "incremental_weekday_attendance": _weekday("corrected", "orders"),
+    "incremental_special_event_stats": "SELECT * FROM f_special",
+    "incremental_total_spend": "SELECT * FROM f_spend",
     "sms_subscribers": f"SELECT {_SUBS_COLUMNS} FROM subscribers",
     "group_order_lines": """SELECT venue_id, email, orderNumber, min(externalid) AS externalid, count(*) AS n_lines,
         sum(orderproduct_price)::BIGINT AS line_total,
