@@ -25,6 +25,7 @@ from ticketlens.operators import processed as pr
 from ticketlens.operators import batches, lookups, skew
 from ticketlens.operators import customer360
 from ticketlens.operators import increments as inc
+from ticketlens.operators import rollups
 from ticketlens.plans import rebuild
 from ticketlens.schemas import CONTACTS, CRM_CONTACTS, EVENTS, MESSAGES, ORDERLINES, ORDERS, SHOWS
 from ticketlens.sources import export, json_api
@@ -579,6 +580,14 @@ def recency_spend(t: TestTables) -> DataFrame:
     return ft.recency_spend(_places(t)[0], AS_OF)
 
 
+@query
+def recency_spend_from_rollup(t: TestTables) -> DataFrame:
+    """The day rollup is written once, as a job would keep it, and the windows are looked up in it."""
+    path = _scratch(t, "day_rollup")
+    rollups.day_rollup(_places(t)[0]).write.parquet(path)
+    return rollups.recency_from_rollup(t.spark.read.parquet(path), AS_OF)
+
+
 @query
 def special_event_stats(t: TestTables) -> DataFrame:
     orders, shows, events, _ = _places(t)

@@ -425,6 +425,7 @@ TWINS: dict[str, str] = {
     "weekday_attendance_corrected": _weekday("corrected", "orders"),
     "weekday_attendance_reference": _weekday("reference", "reference"),
     "recency_spend": "SELECT * FROM f_recency",
+    "recency_spend_from_rollup": "SELECT * FROM f_recency",
     "special_event_stats": "SELECT * FROM f_special",
     "total_spend": "SELECT * FROM f_spend",
     "incremental_ticket_lead_stats": "SELECT * FROM f_lead",

@@ -92,3 +92,24 @@ def test_an_increment_rewrites_only_the_buckets_of_its_customers(spark, table, s
     after = buckets.read_manifest(spark, root)
     assert sum(before.files[b] != after.files[b] for b in before.files) == 1
     assert inc.apply_changes(spark, root, None, None, lambda keys: keys) == -1
+
+
+def test_windows_from_the_day_rollup_equal_recency_spend(spark, table):
+    from ticketlens.operators import rollups
+
+    orders = table(
+        "email string, purchase_date_formatted date, not_comped int, comped int, order_total long",
+        ("x@", date(2020, 1, 1), 1, 0, 1050),
+        ("x@", date(2020, 1, 1), 1, 0, None),
+        ("x@", date(2019, 11, 3), 0, 1, 70),
+        ("x@", date(2019, 3, 3), 1, 0, 250),
+        ("x@", None, 1, 0, 990),
+        ("y@", date(2020, 6, 30), 1, 0, 10),
+        (None, date(2019, 12, 31), 1, 0, 5),
+        ("z@", None, 0, 1, None),
+    )
+    rollup = rollups.day_rollup(orders)
+    for as_of in ("2020-01-01", "2020-06-30 12:00:00", "2019-12-31"):
+        got = rollups.recency_from_rollup(rollup, as_of)
+        want = ft.recency_spend(orders, as_of)
+        assert _rows(got.select(*want.columns)) == _rows(want), as_of
