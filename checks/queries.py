@@ -33,6 +33,7 @@ from ticketlens.sources import tables as store
 from ticketlens.sources import marks as mk
 from ticketlens.sources import runs
 from ticketlens.sources import buckets as bk
+from ticketlens.sources.colocated import write_colocated
 from ticketlens.sources.scratch import scratch_dir
 from ticketlens.sources import upsert as up
 from ticketlens.streaming import messages as sm
@@ -535,6 +536,17 @@ def order_number_totals(t: TestTables) -> DataFrame:
     return marts.order_number_totals(placed, t.processed()["orderlines_processed"])
 
 
+@query
+def order_number_totals_colocated(t: TestTables) -> DataFrame:
+    """As :func:`order_number_totals`, from orders and lines stored in the same buckets of the order number."""
+    orders, shows, events, venues = _places(t)
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    stored_orders = write_colocated(orders, "colocated_orders", "order_number", n)
+    stored_lines = write_colocated(t.processed()["orderlines_processed"], "colocated_lines", "order_number", n)
+    placed = marts.place_orders(stored_orders, shows, events, venues)
+    return marts.order_number_totals(placed, stored_lines)
+
+
 @query
 def duplicate_order_numbers(t: TestTables) -> DataFrame:
     """Line ids stand in for order numbers, which never repeat in the given tables."""

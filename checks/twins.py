@@ -540,5 +540,8 @@ TWINS: dict[str, str] = {
 }
 
 
+TWINS["order_number_totals_colocated"] = TWINS["order_number_totals"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: twin(select) for name, select in TWINS.items()}

@@ -234,3 +234,29 @@ def test_unchanged_rows_of_an_upsert_are_not_shuffled(spark, scratch):
     anti = text[: text.index("Window ")] if "Window " in text else text
     assert "BroadcastHashJoin" in anti and "LeftAnti" in anti
     assert "Exchange hashpartitioning" not in anti[: anti.index("FileScan")]
+
+
+def test_colocated_orders_and_lines_meet_without_a_shuffle(spark, table):
+    from ticketlens.operators import marts
+    from ticketlens.sources.colocated import write_colocated
+
+    orders = table(
+        "id string, order_number string, show_id string, email string, not_comped int, comped int",
+        ("1", "n1", "s1", "a@", 1, 0),
+        ("2", "n1", "s1", "b@", 0, 1),
+        ("3", "n2", "s1", "a@", 1, 0),
+        ("4", None, "s1", "c@", 1, 0),
+    )
+    lines = table("order_number string, ticket_price long", ("n1", 100), ("n1", 50), ("n2", 7), ("n3", 1), (None, 2))
+    shows = table("id string, event_id string, start_date_formatted date, day_of_week int", ("s1", "e1", None, 1))
+    events = table("id string, venue_id string, name string, special_event int, presents_event int", ("e1", "v1", "x", 0, 0))
+    venues = table("id string", ("v1",))
+    plain = marts.order_number_totals(marts.place_orders(orders, shows, events, venues), lines)
+    stored = marts.order_number_totals(
+        marts.place_orders(write_colocated(orders, "t_orders", "order_number", 4), shows, events, venues),
+        write_colocated(lines, "t_lines", "order_number", 4),
+    )
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    # Only the small dimension join (then broadcast) shuffles; orders and lines do not.
+    assert "Exchange hashpartitioning(order_number" not in plan and "SortMergeJoin" in plan, plan
+    assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
