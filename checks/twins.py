@@ -541,6 +541,7 @@ TWINS: dict[str, str] = {
 
 
 TWINS["order_number_totals_colocated"] = TWINS["order_number_totals"]
+TWINS["read_orders_json_quarantined"] = TWINS["read_orders_json"]
 
 
 def oracle_sql() -> dict[str, str]:

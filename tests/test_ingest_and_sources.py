@@ -217,3 +217,27 @@ def test_csv_chunks(spark, tmp_path):
     assert all(c[0] == "id" for c in contents)
     export.export_csv_chunks(spark.range(2), f"{tmp_path}/bare", header=False, sep=";")
     assert spark.read.csv(f"{tmp_path}/bare").count() == 2
+
+
+def test_quarantine_keeps_unreadable_records_of_both_forms(spark, scratch, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from ticketlens.sources import json_api
+
+    schema = StructType([StructField("id", LongType()), StructField("name", StringType())])
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "a.json").write_text('{"id": 1, "name": "x"}\n{"id": 2, "na\n{"id": 3, "name": null}\n')
+    good, bad = json_api.read_quarantined(spark, str(lines), schema, scratch("q-lines"), lines=True)
+    assert sorted(r["id"] for r in good.collect()) == [1, 3]
+    assert [r[json_api.CORRUPT] for r in bad.collect()] == ['{"id": 2, "na']
+    report = json_api.quarantine_report(good, bad).collect()
+    assert [(r["good"], r["bad"]) for r in report] == [(2, 1)] and report[0][json_api.SOURCE].endswith("a.json")
+
+    arrays = tmp_path / "arrays"
+    arrays.mkdir()
+    (arrays / "ok.json").write_text('[{"id": 4, "name": "y"}, {"id": 5, "name": "z"}]')
+    (arrays / "broken.json").write_text('[{"id": 6, "name": "y"}, {"id": ')
+    good, bad = json_api.read_quarantined(spark, str(arrays), schema, scratch("q-arrays"))
+    assert sorted(r["id"] for r in good.collect()) == [4, 5]
+    assert [r[json_api.SOURCE].rsplit("/", 1)[-1] for r in bad.collect()] == ["broken.json"]
