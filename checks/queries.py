@@ -236,6 +236,15 @@ def export_csv_chunks(t: TestTables) -> DataFrame:
     return t.spark.read.schema(schema).csv(path, sep=";", header=True)
 
 
+@query
+def split_contacts_csv_exact(t: TestTables) -> DataFrame:
+    """Contacts in files of exactly 100 rows, read back from all files."""
+    path = _scratch(t, "contacts-split")
+    export.split_csv_exact(t.contacts().drop("sys_entry_date"), path, rows_per_file=100, sep=";")
+    schema = "email_address string, name string, name_first string, name_last string"
+    return t.spark.read.schema(schema).csv(path, sep=";", header=True)
+
+
 @query
 def write_payloads(t: TestTables) -> DataFrame:
     path = _scratch(t, "payloads")

@@ -542,6 +542,7 @@ TWINS: dict[str, str] = {
 
 TWINS["order_number_totals_colocated"] = TWINS["order_number_totals"]
 TWINS["read_orders_json_quarantined"] = TWINS["read_orders_json"]
+TWINS["split_contacts_csv_exact"] = TWINS["export_csv_chunks"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -241,3 +241,27 @@ def test_quarantine_keeps_unreadable_records_of_both_forms(spark, scratch, tmp_p
     good, bad = json_api.read_quarantined(spark, str(arrays), schema, scratch("q-arrays"))
     assert sorted(r["id"] for r in good.collect()) == [4, 5]
     assert [r[json_api.SOURCE].rsplit("/", 1)[-1] for r in bad.collect()] == ["broken.json"]
+
+
+def test_exact_csv_pieces_equal_a_plain_split(spark, table, scratch):
+    import csv
+    import io
+
+    from ticketlens.sources import export
+
+    rows = [(f"r{i}", "a;b" if i == 3 else ' "q" ' if i == 5 else "" if i == 7 else None if i == 8 else f"v{i}") for i in range(23)]
+    df = table("k string, v string", *rows).repartition(3).sortWithinPartitions("k")
+    expected_order = [tuple(r) for r in df.collect()]
+    path = scratch("split")
+    assert export.split_csv_exact(df, path, rows_per_file=5) == 5
+    for k in range(1, 6):
+        want = io.StringIO()
+        writer = csv.writer(want, delimiter=";", lineterminator="\n")
+        writer.writerow(["k", "v"])
+        writer.writerows([[x if x is not None else "" for x in r] for r in expected_order[(k - 1) * 5 : k * 5]])
+        with open(f"{path.split(':', 1)[-1]}/split_{k}.csv") as file:
+            assert file.read() == want.getvalue(), k
+    empty = scratch("split-empty")
+    assert export.split_csv_exact(df.limit(0), empty, rows_per_file=5) == 1
+    with open(f"{empty.split(':', 1)[-1]}/split_1.csv") as file:
+        assert file.read() == "k;v\n"
