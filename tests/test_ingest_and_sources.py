@@ -265,3 +265,22 @@ def test_exact_csv_pieces_equal_a_plain_split(spark, table, scratch):
     assert export.split_csv_exact(df.limit(0), empty, rows_per_file=5) == 1
     with open(f"{empty.split(':', 1)[-1]}/split_1.csv") as file:
         assert file.read() == "k;v\n"
+
+
+def test_sorted_files_with_bloom_filters_skip_row_groups(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from ticketlens.sources import tables
+
+    rows = spark.range(0, 40000).select(
+        F.format_string("c%06d@x", (F.col("id") * 7919) % 40000).alias("email"), F.col("id").cast("string").alias("order_number")
+    )
+    path = scratch("skippable")
+    tables.write_skippable(rows, path, "email", files=8, bloom=["order_number"], group_bytes=1 << 14)
+    stored = spark.read.parquet(path)
+    found = stored.where(F.col("email") == "c012345@x")
+    assert found.count() == 1
+    found = stored.where(F.col("email") == "c012345@x")
+    assert len(found.collect()) == 1 and tables.scan_rows(found) < 40000 // 4
+    by_number = stored.where(F.col("order_number") == "777")
+    assert [r["email"] for r in by_number.collect()] == [f"c{777 * 7919 % 40000:06d}@x"]

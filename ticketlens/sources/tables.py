@@ -111,3 +111,32 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
         folder, files = _hadoop_path(spark, f"{root}/version={number}")
         files.delete(folder, True)
     return expired
+
+
+def write_skippable(df: DataFrame, path: str, key: str, files: int, bloom: Sequence[str] = (), group_bytes: int = 128 << 20) -> None:
+    """Write ``df`` so that a filter on ``key`` (or on a ``bloom`` column) reads little of it.
+
+    Rows are range-partitioned on ``key`` into ``files`` files and sorted inside each, so every
+    file and row group covers a narrow key range: the Parquet reader skips row groups whose
+    min/max exclude an equality or range filter on ``key``. Columns in ``bloom`` get a Parquet
+    Bloom filter per row group, which skips groups for equality filters on unsorted columns as
+    well. Results are the same as of any other layout; only what is read changes.
+    """
+    writer = df.repartitionByRange(files, key).sortWithinPartitions(key).write.mode("overwrite")
+    writer = writer.option("parquet.block.size", group_bytes)
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
+
+
+def scan_rows(df: DataFrame) -> int:
+    """Rows the Parquet scans of an executed ``df`` handed on (after row-group skipping, before filters)."""
+    plan = df._jdf.queryExecution().executedPlan()
+    total, stack = 0, [plan]
+    while stack:
+        node = stack.pop()
+        if node.nodeName().startswith("Scan parquet") or "FileSourceScan" in node.getClass().getSimpleName():
+            total += int(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+    return total
