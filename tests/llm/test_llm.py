@@ -258,3 +258,15 @@ def test_empty_tables(spark, docs):
     assert digests.map_with_next(none, lambda t: [[x[0] for x in t]], "a long").count() == 0
     assert suffix_tree.score(none, F.lit(False)).count() == 0
     assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_packing_spreads_one_repeated_or_null_id(spark):
+    from pyspark.sql import functions as F
+
+    same = spark.range(300).select(F.when(F.col("id") % 2 == 0, F.lit(7)).cast("long").alias("doc_id"), F.lit("a b c").alias("text"))
+    rows = packing.pack(same, packing.count_words("text"), max_len=16, buckets=2, budget=8).collect()
+    assert len(rows) == 300 and sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == [7] * 150
+    batches = defaultdict(int)
+    for r in rows:
+        batches[r["batch_id"]] += 1
+    assert sorted(batches) == list(range(len(batches))) and sorted(batches.values())[:-1] == [2] * (len(batches) - 1)

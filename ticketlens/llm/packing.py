@@ -79,11 +79,12 @@ def pack(
     Batches of a bucket hold budget // bucket pieces (one at least), all but its last exactly. The
     numbering is by hash part and running count over the parts: no task sees a whole bucket.
     """
-    sized = store(docs.select(F.col(id_col).alias("id"), length.alias("n")), "lengths")
+    # A row tag fixed by the stored table: rows of a NULL or repeated id spread over the parts as well.
+    sized = store(docs.select(F.col(id_col).alias("id"), length.alias("n"), F.monotonically_increasing_id().alias("_row")), "lengths")
     pieces = (
         sized.withColumn("piece", F.explode(F.expr(f"sequence(0L, greatest(0L, (n - 1) div {max_len}))")))
         .withColumn("start", F.col("piece") * max_len)
-        .select("id", "piece", "start", F.least(F.lit(max_len), F.col("n") - F.col("start")).cast("long").alias("length"))
+        .select("id", "_row", "piece", "start", F.least(F.lit(max_len), F.col("n") - F.col("start")).cast("long").alias("length"))
     )
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     bounds = boundaries(histogram, buckets)
@@ -91,13 +92,13 @@ def pack(
     bucket = F.coalesce(*fits, F.lit(None).cast("long"))
     parts = max(16, 1 << (sum(histogram.values()) // PART_ROWS).bit_length())
     dealt = pieces.withColumns(
-        {"bucket": bucket, "part": F.pmod(F.xxhash64("id", "piece"), F.lit(parts)).cast("int")}
+        {"bucket": bucket, "part": F.pmod(F.xxhash64("id", "_row", "piece"), F.lit(parts)).cast("int")}
     )
     # Numbers per (bucket, part): a few rows per task, which a window over the parts can add up.
     sizes = dealt.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("bucket", "part").orderBy("id", "piece", "length")) - 1
+    rank = F.row_number().over(Window.partitionBy("bucket", "part").orderBy("id", "_row", "piece", "length")) - 1
     per_batch = {b: max(1, budget // b) for b in bounds}
     held = [sum(n for size, n in histogram.items() if low < size <= b) for low, b in zip([0, *bounds], bounds)]
     first = dict(zip(bounds, accumulate((-(-n // per_batch[b]) for b, n in zip(bounds, held)), initial=0)))
