@@ -106,6 +106,10 @@ def merge_piece(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int
     return [s for s in sym if s >= 0]
 
 
+# Decoded bytes gathered at once; bounds the index arrays of a gather (8 bytes per byte).
+GATHER = 1 << 20
+
+
 class Encoder:
     """Encodes texts of one worker, remembering the ids of pre-tokens as int32 bytes."""
 
@@ -169,15 +173,28 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded
     """``docs`` with a column ``out``: the text of the ids (null ids: '')."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(Vocabulary(path).token_bytes)
+    tokens = Vocabulary(path).token_bytes
+    blob = np.frombuffer(b"".join(tokens), np.uint8)
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
+    shared = spark.sparkContext.broadcast((blob, starts))
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = shared.value
+        blob, starts = shared.value
         for array in arrays:
-            values = array.flatten().to_numpy(zero_copy_only=False)
-            lengths = array.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(lengths)
-            said = [b"".join(map(table.__getitem__, values[e - n : e].tolist())).decode("utf-8", "replace") for n, e in zip(lengths, ends)]
+            ids = array.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            sizes = starts[ids + 1] - starts[ids]
+            row_tok = np.concatenate([[0], np.cumsum(array.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            row_byte = np.concatenate([[0], np.cumsum(sizes)])[row_tok]
+            said, r = [], 0
+            while r < len(array):  # rows of about GATHER bytes at a time; a longer text alone, whole
+                q = min(len(array), max(r + 1, int(np.searchsorted(row_byte, row_byte[r] + GATHER, side="right")) - 1))
+                part, width = ids[row_tok[r] : row_tok[q]], sizes[row_tok[r] : row_tok[q]]
+                ends = np.cumsum(width)
+                # one gather of the vocabulary strings of these rows, in order: their concatenation
+                at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[part] - (ends - width), width)
+                joined, base = blob[at].tobytes(), int(row_byte[r])
+                said += [joined[a - base : b - base].decode("utf-8", "replace") for a, b in zip(row_byte[r:q].tolist(), row_byte[r + 1 : q + 1].tolist())]
+                r = q
             yield pa.array(said, pa.string())
 
     return docs.withColumn(out, F.arrow_udf(run, "string")(F.col(ids_col)))
@@ -190,8 +207,7 @@ def le_uint32(ids: Column) -> Column:
         for array in arrays:
             values = array.flatten().to_numpy(zero_copy_only=False).astype("<u4")
             lengths = array.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(lengths) * 4
-            blob = values.tobytes()
-            yield pa.array([blob[e - 4 * n : e] for n, e in zip(lengths, ends)], pa.binary())
+            offsets = np.concatenate([[0], np.cumsum(lengths) * 4]).astype(np.int32)
+            yield pa.Array.from_buffers(pa.binary(), len(array), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
 
     return F.arrow_udf(run, "binary")(ids)
