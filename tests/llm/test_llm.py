@@ -235,7 +235,7 @@ def test_quality_learns_and_scores_all(spark):
 
 def test_queries_have_contract_columns():
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(queries.oracle_sql()) <= names
 
 
