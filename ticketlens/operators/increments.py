@@ -12,7 +12,9 @@ any shuffle (partial aggregation combines a hot customer inside each task), the
 the stored states of only the buckets it touches, sums add, maxima take the larger. A maximum
 cannot be retracted by subtraction: where a removed row's value reaches the stored maximum, the
 customer is *dirty* and its state is summed again from ``facts_of(dirty customers)``, i.e. from
-its own current orders only. Nothing else is read.
+its own current orders only. Nothing else is read. The per-customer aggregates of an increment are
+written once below the table's root while it runs: several joins read them, and computing them
+for each reader would read and join all changed orders again every time.
 
 Features that depend on an evaluation day (recency windows, first/last/next show) are not lifetime
 features and are not kept here. Dimension tables (shows, events, counts, line totals) are taken as
@@ -23,12 +25,12 @@ in no feature. NULL customer keys are a customer of their own, as in the full fe
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ticketlens.functions import whole_units
 from ticketlens.operators.marts import line_totals, show_dimension
@@ -52,16 +54,25 @@ SUMMED = [
 MAXED = ["comp_day", "newest"]
 
 
-def order_facts(orders: DataFrame, shows: DataFrame, events: DataFrame, counts: DataFrame, lines: DataFrame) -> DataFrame:
+def order_facts(
+    orders: DataFrame,
+    shows: DataFrame,
+    events: DataFrame,
+    counts: DataFrame,
+    lines: DataFrame | None = None,
+    totals: DataFrame | None = None,
+) -> DataFrame:
     """One row per order: customer, order id and number, and its share of every lifetime feature.
 
-    ``counts`` is ``ticket_counts`` (one row per order number), ``lines`` the processed order lines.
+    ``counts`` is ``ticket_counts`` (one row per order number), ``lines`` the processed order lines;
+    a job that keeps their ``line_totals`` as a table gives ``totals`` instead.
     An order whose show, event or count is missing adds nothing to the features that need them.
     """
     starts = shows.select(F.col("id").alias("show_id"), F.col("start_date_formatted").alias("_start"), F.lit(True).alias("_has_show"))
     places = show_dimension(shows, events).select("show_id", "special_event", "presents_event", F.lit(True).alias("_placed"))
     counted = counts.select("order_number", "tickets", "paid_tickets", "comp_tickets")
-    revenue = line_totals(lines).select("order_number", F.col("line_cents").alias("_cents"), F.lit(True).alias("_has_lines"))
+    totals = line_totals(lines) if totals is None else totals
+    revenue = totals.select("order_number", F.col("line_cents").alias("_cents"), F.lit(True).alias("_has_lines"))
     rows = (
         orders.select(F.col("email").alias(KEY), "id", "order_number", "show_id", "purchase_date_formatted", "phone", "not_comped")
         .join(starts, "show_id", "left")
@@ -135,7 +146,24 @@ def apply_changes(
     parts = [_signed(df, s) for df, s in ((removed, -1), (added, 1)) if df is not None]
     if not parts:
         return -1
-    delta = partial_states(reduce(DataFrame.unionByName, parts))
+    work = f"{root}/staged/{uuid.uuid4().hex}"
+    try:
+        updates = _updates(spark, root, work, partial_states(reduce(DataFrame.unionByName, parts)), facts_of)
+        return buckets.upsert(spark, root, updates, [KEY], updates.schema, buckets=buckets_count)
+    finally:
+        buckets.delete(spark, work)
+
+
+def _staged(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _updates(
+    spark: SparkSession, root: str, work: str, delta: DataFrame, facts_of: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The new states of the customers in ``delta``; what several joins read is written below ``work``."""
+    delta = _staged(spark, f"{work}/delta", delta)
     current = buckets.read_manifest(spark, root)
     if current is None or not current.files:
         stored = spark.createDataFrame([], delta.drop(*[f"{c}_gone" for c in MAXED]).schema)
@@ -151,16 +179,17 @@ def apply_changes(
         *[F.greatest(F.col(f"s_{c}"), F.col(c)).alias(c) for c in MAXED],
         dirty.alias("_dirty"),
     )
+    merged = _staged(spark, f"{work}/merged", merged)
     clean = merged.where(~F.col("_dirty")).drop("_dirty")
     dirty_keys = merged.where(F.col("_dirty")).select(KEY)
-    again = states_of(join_on_keys(facts_of(dirty_keys), dirty_keys, [KEY], "left_semi"))
+    if dirty_keys.isEmpty():
+        return clean
+    again = _staged(spark, f"{work}/again", states_of(join_on_keys(facts_of(dirty_keys), dirty_keys, [KEY], "left_semi")))
     # A dirty customer whose orders are all gone sums to nothing: it keeps a row of zeros.
     zeros = join_on_keys(dirty_keys, again.select(KEY), [KEY], "left_anti").select(
         KEY, *[F.lit(0).cast(clean.schema[c].dataType).alias(c) for c in SUMMED], *[F.lit(None).cast(clean.schema[c].dataType).alias(c) for c in MAXED]
     )
-    updates = clean.unionByName(again.select(*clean.columns)).unionByName(zeros)
-    schema = StructType([clean.schema[c] for c in clean.columns])
-    return buckets.upsert(spark, root, updates, [KEY], schema, buckets=buckets_count)
+    return clean.unionByName(again.select(*clean.columns)).unionByName(zeros)
 
 
 def _present(states: DataFrame, count: str) -> DataFrame:
@@ -205,9 +234,16 @@ def lifetime_features(states: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def changed_orders(before: DataFrame, after: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:
-    """Rows of ``before`` and of ``after`` whose order (by ``key``) differs, is new or is gone."""
+def changed_orders(
+    before: DataFrame, after: DataFrame, key: str = "id", rows: tuple[DataFrame, DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``before`` and of ``after`` whose order (by ``key``) differs, is new or is gone.
+
+    With ``rows``, a pair of tables with the same keys such as the stored fact rows of both, the
+    rows are taken from these. Keys of equal rows come from a semi join, so repeated rows (or many
+    rows without a key) are not paired with each other.
+    """
     cols = after.columns
-    digest = lambda df: df.select(key, F.sha2(F.to_json(F.struct(*cols)), 256).alias("_s"))
-    same = join_on_keys(digest(before), digest(after), [key, "_s"], "inner").select(key)
-    return join_on_keys(before, same, [key], "left_anti"), join_on_keys(after, same, [key], "left_anti")
+    digest = lambda df: df.select(key, F.unhex(F.sha2(F.to_json(F.struct(*cols)), 256)).alias("_s"))
+    same = join_on_keys(digest(before), digest(after), [key, "_s"], "left_semi").select(key)
+    return tuple(join_on_keys(df, same, [key], "left_anti") for df in rows or (before, after))
