@@ -16,6 +16,28 @@ from ticketlens.sources import buckets, json_api
 ORDERS = "email string, id string, order_number string, show_id string, purchase_date_formatted date, phone string, not_comped int"
 
 
+@pytest.fixture(scope="module")
+def given(spark, tmp_path_factory):
+    """A few rows of the given tables, some keys missing."""
+    from checks.bindings import TestTables
+
+    root = tmp_path_factory.mktemp("given")
+    key = "CASE WHEN id <> 7 THEN id END AS o_orderkey"
+    day = "timestamp_ntz'1997-01-01 10:00:00' + make_dt_interval(cast(id % 900 AS int)) AS o_orderdate"
+    tables = {
+        "customer": (20, ["id AS c_custkey", "concat('Customer#', id) AS c_name", "1 AS c_nationkey"]),
+        "nation": (25, ["cast(id AS int) AS n_nationkey", "concat('N', id) AS n_name"]),
+        "part": (12, ["id + 1 AS p_partkey", "'large' AS p_name", "'b' AS p_brand", "'promo' AS p_type", "cast(id AS int) AS p_size"]),
+        "orders": (200, [key, "id % 20 AS o_custkey", "'F' AS o_orderstatus", "10.5D AS o_totalprice", day, "'5-LOW' AS o_orderpriority"]),
+        "lineitem": (600, ["id DIV 3 AS l_orderkey", "id % 12 + 1 AS l_partkey", "cast(id % 3 AS int) AS l_linenumber",
+                           "10.25D AS l_extendedprice", "'R' AS l_returnflag", "'F' AS l_linestatus"]),
+        "events": (5, ["id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id", "'view' AS event_type"]),
+    }
+    for name, (rows, columns) in tables.items():
+        spark.range(rows).selectExpr(*columns).write.parquet(f"{root}/{name}.parquet")
+    return lambda: TestTables(spark, str(root))
+
+
 def _dims(table):
     shows = table("id string, event_id string, start_date_formatted date, day_of_week int", ("s1", "e1", date(2020, 3, 2), 1))
     events = table("id string, venue_id string, name string, special_event int, presents_event int", ("e1", "v1", "a", 1, 0))
@@ -65,3 +87,14 @@ def test_changed_rows_of_kept_facts(table):
     gone, came = inc.changed_orders(before, after, rows=tuple(facts))
     assert sorted(map(tuple, gone.collect())) == [("b", 10), ("gone", 10)]
     assert sorted(map(tuple, came.collect())) == [("b", 20), ("new", 10)]
+
+
+def test_landed_orders_are_compressed(given, tmp_path, monkeypatch):
+    from checks import queries as q
+
+    monkeypatch.setattr(q, "_scratch", lambda t, name: f"{tmp_path}/{name}")
+    given_json = sum(len(r.value) for r in given().order_json().collect())
+    rows = q._QUERIES["read_orders_json"](given()).count()
+    assert rows == given().order_json().count() > 0
+    landed = sum(p.stat().st_size for p in Path(tmp_path, "orders-json").glob("part-*"))
+    assert landed < given_json / 3
