@@ -98,3 +98,18 @@ def test_landed_orders_are_compressed(given, tmp_path, monkeypatch):
     assert rows == given().order_json().count() > 0
     landed = sum(p.stat().st_size for p in Path(tmp_path, "orders-json").glob("part-*"))
     assert landed < given_json / 3
+
+
+def test_quarantine_is_written_unsorted_and_compressed(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.json").write_text('{"a": 1}\n{"a": \n{"a": 3}\n')
+    conf = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(conf)
+    good, bad = json_api.read_quarantined(
+        spark, str(landing), spark.createDataFrame([], "a int").schema, f"{tmp_path}/out", lines=True
+    )
+    assert sorted(r.a for r in good.collect()) == [1, 3] and bad.count() == 1
+    files = [p.name for p in Path(tmp_path, "out").rglob("part-*")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+    assert spark.conf.get(conf) == before
