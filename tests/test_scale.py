@@ -113,3 +113,10 @@ def test_quarantine_is_written_unsorted_and_compressed(spark, tmp_path):
     files = [p.name for p in Path(tmp_path, "out").rglob("part-*")]
     assert files and all(name.endswith(".zstd.parquet") for name in files)
     assert spark.conf.get(conf) == before
+
+
+def test_a_form_is_parsed_once(table):
+    form = table("body string", ("contact[email]=a%2B@x&b",)).select(fn.webhook_fields(F.col("body")).alias("f")).select("f.*")
+    plan = form._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert len(re.findall(r"url_?decode|urlcodec", plan)) <= 4
+    assert form.first()["email"] == "a+@x"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,19 +32,29 @@ def _pairs(body: Column) -> Column:
     return F.transform(F.split(body, "&"), pair)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it.
+
+    Spark does not share an expression between a lambda and its surroundings.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_form(body: Column) -> Column:
     """Body to map<string,string>; of a repeated key the last value is kept.
 
     Earlier copies of a key are filtered out here, so the result does not depend
     on the session's map-key policy.
     """
-    pairs = _pairs(body)
 
-    def is_last(pair: Column, position: Column) -> Column:
-        later = F.slice(pairs, position + 2, F.size(pairs))
-        return ~F.exists(later, lambda other: other["key"] == pair["key"])
+    def to_map(pairs: Column) -> Column:
+        def is_last(pair: Column, position: Column) -> Column:
+            later = F.slice(pairs, position + 2, F.size(pairs))
+            return ~F.exists(later, lambda other: other["key"] == pair["key"])
+
+        return F.map_from_entries(F.filter(F.filter(pairs, is_last), lambda p: p["key"].isNotNull()))
 
-    return F.map_from_entries(F.filter(F.filter(pairs, is_last), lambda p: p["key"].isNotNull()))
+    return _bound(_pairs(body), to_map)
 
 
 def form_value(form: Column, key_start: str) -> Column:
@@ -52,10 +64,12 @@ def form_value(form: Column, key_start: str) -> Column:
 
 
 def webhook_fields(body: Column) -> Column:
-    """struct<email, mobile_number, optin_status> of an opt-in webhook body."""
-    form = parse_form(body)
-    return F.struct(
-        form_value(form, EMAIL_KEY).alias("email"),
-        form_value(form, MOBILE_KEY).alias("mobile_number"),
-        form_value(form, OPTIN_KEY_START).alias("optin_status"),
+    """struct<email, mobile_number, optin_status> of an opt-in webhook body, which is parsed once."""
+    return _bound(
+        parse_form(body),
+        lambda form: F.struct(
+            form_value(form, EMAIL_KEY).alias("email"),
+            form_value(form, MOBILE_KEY).alias("mobile_number"),
+            form_value(form, OPTIN_KEY_START).alias("optin_status"),
+        ),
     )
