@@ -120,3 +120,21 @@ def test_a_form_is_parsed_once(table):
     plan = form._jdf.queryExecution().optimizedPlan().toString().lower()
     assert len(re.findall(r"url_?decode|urlcodec", plan)) <= 4
     assert form.first()["email"] == "a+@x"
+
+
+def test_space_is_stripped_as_by_the_patterns(table):
+    texts = ["", " ", "a", " a b\t", "\r\na\r\n", "a \u0085", "a  ", "\u0085 a", "  ", "a\x0b\f", " a ", "a \n\u0085", None]
+    by_pattern = F.regexp_replace(F.regexp_replace("t", r"^\s+", ""), r"\s+$", "")
+    rows = table("t string", *[(t,) for t in texts]).select(by_pattern.alias("want"), fn.strip_space(F.col("t")).alias("got")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+
+
+def test_contacts_are_backfilled_from_the_customer_alone(given):
+    from checks import queries as q
+    from ticketlens.operators import ingest
+
+    found = q._QUERIES["backfill_contacts"](given())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json(StructField(customer" in plan and "from_json(StructField(venue_id" not in plan
+    whole = ingest.backfill_contacts(given().order_sightings()).distinct()
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, whole.collect()))
