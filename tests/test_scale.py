@@ -138,3 +138,10 @@ def test_contacts_are_backfilled_from_the_customer_alone(given):
     assert "from_json(StructField(customer" in plan and "from_json(StructField(venue_id" not in plan
     whole = ingest.backfill_contacts(given().order_sightings()).distinct()
     assert sorted(map(repr, found.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_features_read_orders_and_counts_that_are_kept(given):
+    from checks import queries as q
+
+    plan = q._QUERIES["customer_360_from_features"](given())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1  # the line revenue; orders and counts come from the kept tables
