@@ -145,3 +145,20 @@ def test_features_read_orders_and_counts_that_are_kept(given):
 
     plan = q._QUERIES["customer_360_from_features"](given())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lineitem.parquet") == 1  # the line revenue; orders and counts come from the kept tables
+
+
+def test_a_rebuild_writes_orders_and_customers_side_by_side(spark, given, scratch, monkeypatch):
+    from threading import Barrier
+
+    from checks.bindings import AS_OF, OPTIONS
+    from ticketlens.plans import rebuild
+
+    both, write = Barrier(2, timeout=60), rebuild.write_version
+
+    def write_together(df, root, partition_by=()):
+        if root.endswith(("/orders_mv", "/customer_features")):
+            both.wait()
+        return write(df, root, partition_by)
+
+    monkeypatch.setattr(rebuild, "write_version", write_together)
+    assert len(rebuild.rebuild_all(spark, given().base(), scratch("side-by-side"), AS_OF, OPTIONS)) == 19
