@@ -161,4 +161,4 @@ def test_a_rebuild_writes_orders_and_customers_side_by_side(spark, given, scratc
         return write(df, root, partition_by)
 
     monkeypatch.setattr(rebuild, "write_version", write_together)
-    assert len(rebuild.rebuild_all(spark, given().base(), scratch("side-by-side"), AS_OF, OPTIONS)) == 19
+    assert len(rebuild.rebuild_all(spark, given().base(), scratch("side-by-side"), AS_OF, OPTIONS)) == 20
