@@ -160,6 +160,54 @@ def test_cut_groups_split_at_every_common_end():
         assert a_last.tolist() == [g[1] - 1 for g in groups] and b_last.tolist() == [g[3] - 1 for g in groups]
 
 
+def odd_texts():
+    rng = random.Random(20)
+    atoms = ["the", "Über", "don't", " ", "  ", "   ", "x1", "</s>", "<|endoftext|>", "中文", "😀", "\t", "\n", "\r\n", "\u3000", "\xa0", "\x1c"]
+    atoms += ["\u2581", "\u2581a", "\u0301", "'s", "'", "ll", "12", ".", "long" * 20, "\u200b", "\x00", "word", " a", "ing", "．"]
+    made = ["".join(rng.choices(atoms + [" "] * 12, k=rng.randint(1, 40))) for _ in range(1500)]
+    return [*made, None, "", " ", "  ", "\n", " \n", "\n ", "a ", "a  ", " a", "  a  ", "\t ", "\u2581", " \u2581 ", "z" * 3000, "q " * 3000]
+
+
+def per_text(found):
+    ends = np.cumsum(found["n_pairs"]).tolist()
+    pairs = list(zip(found["la"].tolist(), found["lb"].tolist(), found["ln"].tolist()))
+    linked = [Counter({(a, b): n for a, b, n in pairs[s:e]}) for s, e in zip([0, *ends], ends)]
+    return list(zip(found["n_a"].tolist(), found["n_b"].tolist(), found["n_groups"].tolist(), linked, found["groups_sha256"]))
+
+
+def test_words_align_as_whole_texts_do():
+    merges, a_sizes, path, b_bytes, split = alignment.tokenizers(JSON, MODEL)
+    assert split
+    texts = odd_texts()
+    by_words = per_text(alignment.Aligner(merges, a_sizes, path, b_bytes, True).batch(texts))
+    assert by_words == per_text(alignment.Aligner(merges, a_sizes, path, b_bytes, False).batch(texts))
+    # a memory that is full at once, texts in several passes, and nothing but a text that has no tokens
+    assert by_words == per_text(alignment.Aligner(merges, a_sizes, path, b_bytes, True, chunk=2000, memory=40).batch(texts))
+    assert per_text(alignment.Aligner(merges, a_sizes, path, b_bytes, True).batch(["\u2581", None])) == [(0, 0, 0, Counter(), "")] * 2
+    brute = brute_alignment([(i, t) for i, t in enumerate(texts)])
+    got = [(False, i, *r[:3], sum(r[3].values()), r[4]) for i, r in enumerate(by_words)]
+    assert got == [(*b[:6], b[8]) for b in brute]
+
+
+def test_words_are_cut_where_both_tokenizers_end():
+    assert alignment.words("a b c") == ["a", "b", "c"]
+    assert alignment.words("a b ") == ["a", "b "] and alignment.words(" ") == [" "]
+    assert alignment.words("a  b\n c") == ["a", " b\n c"]  # white space before a space: A's pre-tokens may run on
+    for text in filter(None, odd_texts()):
+        parts = alignment.words(text)
+        assert "".join(" " + p for p in parts) == " " + text and all(parts)
+
+
+def test_a_word_is_aligned_once_and_kept_when_met_again(monkeypatch):
+    aligner = alignment.Aligner(*alignment.tokenizers(JSON, MODEL), chunk=200, memory=60)
+    learned, learn = Counter(), aligner._learn
+    monkeypatch.setattr(aligner, "_learn", lambda new: (learned.update(new), learn(new)))
+    common = [f"common{i}" for i in range(20)]
+    aligner.batch([" ".join([*common, *common, f"rare{i}"]) for i in range(300)])
+    assert all(learned[w] == 1 for w in common) and len(learned) == 320
+    assert len(aligner.known) <= 61
+
+
 # --- op12 -------------------------------------------------------------------------------------
 
 
