@@ -270,3 +270,45 @@ def test_packing_spreads_one_repeated_or_null_id(spark):
     for r in rows:
         batches[r["batch_id"]] += 1
     assert sorted(batches) == list(range(len(batches))) and sorted(batches.values())[:-1] == [2] * (len(batches) - 1)
+
+
+def near_and_far(seed=4, dims=64):
+    """Unclustered vectors and chains around the threshold, most of whose length lies in few directions for some."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(400, dims)) * np.where(np.arange(400)[:, None] < 200, 1, 3.0 / np.arange(1, dims + 1))
+    for k in range(160):
+        v = x[k * 2] / np.linalg.norm(x[k * 2])
+        side = rng.normal(size=dims)
+        side -= (side @ v) * v
+        turn = np.arccos(0.95) + rng.choice([-0.2, -1e-3, 1e-3, 0.1])
+        x = np.vstack([x, np.cos(turn) * v + np.sin(turn) * side / np.linalg.norm(side)])
+    return np.vstack([x, x[:20] * 2]).astype(np.float32)
+
+
+def test_long_vectors_equal_brute_force_and_blocks_are_not_shuffled(spark, monkeypatch):
+    x = near_and_far()
+    units = np.stack([vectors.unit(v) for v in x])
+    close = list(zip(*np.nonzero(np.triu(units @ units.T >= 0.95, 1))))
+    n = Counter(int(i) for pair in close for i in pair)
+    assert 100 < len(n) < len(x)
+    plans, store = {}, vectors.store
+
+    def told(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(vectors, "store", told)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = vectors.near_duplicates(df, sample=40, centres=5, block=16)
+    assert sorted(map(tuple, found.collect())) == [(i, n[i], c) for i, c in enumerate(groups(len(x), close))]
+    assert "Exchange" in plans["nodes"] and "Exchange" not in plans["links"]  # the vectors of a pair of blocks are read, not shuffled
+
+
+def test_swept_shuffles_restores_the_setting(spark):
+    from ticketlens.llm.common import swept_shuffles
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with swept_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == before

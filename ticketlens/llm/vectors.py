@@ -8,9 +8,14 @@ are traversed together: a pair of nodes farther apart than the threshold and bot
 pruned, a pair nearer than the threshold less both radii is linked as a whole, leaves are compared
 vector by vector in double precision.
 
-Equal vectors are one node with a multiplicity. A task holds two blocks and returns, for each vector
-with a link, its number of links and a spanning star, never the pairs. Where vectors lie in no clusters
-at all, covering radii prune little and the work nears all pairs of blocks; results do not change.
+Products of centres are first taken of a few principal directions with the length of the rest, which
+bounds the cosine from above; only rows that pass are multiplied in full.
+
+Equal vectors are one node with a multiplicity. Blocks are stored once, several to a row, and a task
+reads the two sets of rows whose blocks it compares: nothing is shuffled for a pair of blocks. A task
+returns, for each vector with a link, its number of links and a spanning star, never the pairs. Where
+vectors lie in no clusters at all, covering radii prune little and the work nears all pairs of blocks;
+results do not change.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing and are their own component; so do vectors of different lengths; null ids never name a
@@ -26,12 +31,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from ticketlens.llm.common import bounded_batches, components, discard, label_components, store
+from ticketlens.llm.common import bounded_batches, components, discard, label_components, store, swept_shuffles
 
 SAMPLE = 2048
 CENTRES = 256
 BLOCK = 2048
+# Blocks in one stored row at most; a small table has at least about so many rows.
+_TOGETHER, _ROWS = 8, 16
+# A node of so few vectors that is wider than this prunes less than it costs; its parts take its place.
+_FEW, _WIDE = 16, 0.5
+# Numbers of a vector's sketch: principal directions and the length of the rest.
+_SKETCH = 24
+# Where a cosine of so much is asked for, sketches are multiplied first and survivors measured again.
+_STEEP = 0.85
 # Levels end where a node's pairs are all far within the threshold of the default cosine.
 _LEAF = 0.0625
 # Bounds give way by this much, far above the rounding of a distance.
@@ -50,6 +64,32 @@ def unit(values) -> np.ndarray | None:
     return x / np.sqrt(x @ x)
 
 
+def by_length(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, vectors as rows) of each length in a column of lists without nulls."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    flat, starts = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        yield at, flat[starts[at][:, None] + np.arange(size)]
+
+
+def units(raw: np.ndarray) -> np.ndarray:
+    """Rows with a direction over their lengths, as :func:`unit`."""
+    x = raw.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    return x
+
+
+def _directions(sample: np.ndarray) -> np.ndarray | None:
+    """The principal directions that sketches keep, or None where they would hardly be shorter."""
+    if sample.shape[1] < 2 * _SKETCH:
+        return None
+    return np.ascontiguousarray(np.linalg.eigh(sample.T @ sample)[1][:, ::-1][:, : _SKETCH - 1])
+
+
 class Tree:
     """A cover tree over the rows of one block: nodes with a contiguous range of rows each.
 
@@ -80,24 +120,36 @@ class Tree:
                 self.order.extend(())  # leaves keep their members as they are
                 self._leaf(node, members)
                 continue
-            groups = []
             while True:
-                groups = []
-                left, half = members, r / 2
-                while len(left):
-                    near = gram[left[0], left] >= 1 - half * half / 2
-                    near[0] = True
-                    groups.append(left[near])
-                    left = left[~near]
-                r = half
+                r /= 2
+                groups = self._groups(gram, members, r)
                 if len(groups) > 1 or r <= _LEAF / 2:
                     break
-            self.child[node], self.children[node] = len(self.start), len(groups)
-            at = self.start[node]
-            for group in groups:
+            self.child[node], at = len(self.start), self.start[node]
+            waiting = [(group, r) for group in reversed(groups)]
+            while waiting:
+                group, r = waiting.pop()
+                if 1 < len(group) <= _FEW and gram[group[0], group].min() < 1 - _WIDE * _WIDE / 2:
+                    waiting.extend((part, r / 2) for part in reversed(self._groups(gram, group, r / 2)))
+                    continue
                 self._node(gram, group, r, at)
                 queue.append((len(self.start) - 1, group, r))
                 at += len(group)
+            self.children[node] = len(self.start) - self.child[node]
+
+    @staticmethod
+    def _groups(gram: np.ndarray, members: np.ndarray, r: float) -> list[np.ndarray]:
+        """Each first member that is left with all others within ``r`` of it."""
+        close = gram[np.ix_(members, members)] >= 1 - r * r / 2
+        np.fill_diagonal(close, True)
+        alone = close.sum(axis=1) == 1  # near no other, whatever is taken first
+        taken = [(at, members[at : at + 1]) for at in np.flatnonzero(alone).tolist()]
+        left = np.flatnonzero(~alone)
+        while len(left):
+            near = close[left[0], left]
+            taken.append((int(left[0]), members[left[near]]))
+            left = left[~near]
+        return [group for _, group in sorted(taken, key=lambda t: t[0])]
 
     def _node(self, gram: np.ndarray, members: np.ndarray, r: float, start: int) -> None:
         lowest = float(gram[members[0], members].min())
@@ -114,11 +166,25 @@ class Tree:
         self.order[self.start[node] : self.end[node]] = members.tolist()
 
 
-def pack_block(nodes: np.ndarray, weights: np.ndarray, x: np.ndarray) -> bytes:
-    """A block's rows in tree order with their tree."""
-    tree = Tree(x)
+class Block:
+    """A block's vectors in tree order, as a worker compares them."""
+
+    def __init__(self, held: tuple, directions: np.ndarray | None) -> None:
+        self.nodes, self.weights, raw, self.tree = held
+        self.x = units(raw)
+        self.x32, self.sketch = self.x.astype(np.float32), None
+        self.classes = _radius_class(self.tree[2])
+        if directions is not None and len(directions) == self.x.shape[1]:
+            kept = self.x @ directions
+            rest = np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", kept, kept)))
+            self.sketch = np.column_stack([kept, rest]).astype(np.float32)
+
+
+def pack_block(nodes: np.ndarray, weights: np.ndarray, raw: np.ndarray) -> tuple:
+    """A block's rows in tree order with their tree; vectors as they came, which single precision halves."""
+    tree = Tree(units(raw))
     arrays = (tree.start, tree.end, tree.radius, tree.child, tree.children)
-    return pickle.dumps((nodes[tree.order], weights[tree.order], x[tree.order], arrays), protocol=5)
+    return nodes[tree.order], weights[tree.order], raw[tree.order], arrays
 
 
 class _Found:
@@ -152,12 +218,38 @@ def _runs(classes: np.ndarray) -> list[np.ndarray]:
     return np.split(order, np.flatnonzero(np.diff(classes[order])) + 1)
 
 
-def traverse(left: bytes, right: bytes | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def merged(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Several results of :func:`traverse` as one: counts added up, a star per component of them all."""
+    nodes, counts, roots = (np.concatenate(part) for part in zip(*found))
+    ids, at = np.unique(np.concatenate([nodes, roots]), return_inverse=True)
+    total = np.zeros(len(ids), np.int64)
+    np.add.at(total, at[: len(nodes)], counts)
+    return ids, total, ids[label_components(len(ids), at[: len(nodes)], at[len(nodes) :])]
+
+
+def _at_least(left: np.ndarray, right: np.ndarray, bound: np.float32) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs whose product is at least the bound; few rows at a time, so that products stay in the cache."""
+    us, vs, width = [], [], len(right)
+    rows = max(1, (1 << 19) // width)
+    out = np.empty((min(rows, len(left)), width), np.float32)
+    for at in range(0, len(left), rows):
+        part = left[at : at + rows]
+        product = np.matmul(part, right.T, out=out[: len(part)])
+        some = np.flatnonzero(product.max(axis=1) >= bound)
+        if len(some):
+            i, j = np.nonzero(product[some] >= bound)
+            us.append(some[i] + at)
+            vs.append(j)
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *us]), np.concatenate([none, *vs])
+
+
+def traverse(left: Block, right: Block | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(nodes, link counts, star centres) of the linked rows of two blocks, or of one with itself."""
-    ids_a, w_a, x, tree_a = pickle.loads(left)
     same = right is None
-    ids_b, w_b, y, tree_b = (ids_a, w_a, x, tree_a) if same else pickle.loads(right)
-    (s_a, e_a, r_a, c_a, k_a), (s_b, e_b, r_b, c_b, k_b) = tree_a, tree_b
+    right = left if same else right
+    (ids_a, w_a, x), (ids_b, w_b, y) = (left.nodes, left.weights, left.x), (right.nodes, right.weights, right.x)
+    (s_a, e_a, r_a, c_a, k_a), (s_b, e_b, r_b, c_b, k_b) = left.tree, right.tree
     tau, shift = np.sqrt(2 - 2 * cosine), 0 if same else len(ids_a)
     found = _Found(len(ids_a) if same else len(ids_a) + len(ids_b))
 
@@ -182,33 +274,39 @@ def traverse(left: bytes, right: bytes | None, cosine: float) -> tuple[np.ndarra
         p, q = np.nonzero(linked)
         found.edges(p + s_a[i], q + s_b[j] + shift)
 
-    x32, y32 = x.astype(np.float32), y.astype(np.float32)
-    class_a, class_b = _radius_class(r_a), _radius_class(r_b)
+    x32, y32, class_a, class_b = left.x32, right.x32, left.classes, right.classes
+    sketch_a, sketch_b = left.sketch, right.sketch
 
     def near(p: np.ndarray, q: np.ndarray, wanted: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Wanted pairs of nodes that are not pruned, with the distance of their centres.
 
         Nodes of one radius class share a bound, which one comparison of single-precision products
-        (with room for their rounding) applies; the survivors are measured in double precision.
+        (with room for their rounding) applies, of sketches first where it is steep: their product is
+        never below that of the vectors. Survivors are measured in double precision where the bound is
+        steep or nodes may be linked as a whole; others are taken to be anywhere, and their children compared.
         """
-        us, vs = [], []
+        us, vs, measured = [], [], []
         for some in _runs(class_a[p]):
             for other in _runs(class_b[q]):
                 reach = tau + r_a[p[some]].max() + r_b[q[other]].max()
                 bound = np.float32(1 - reach * reach / 2 - 1e-5)
-                right_side = y32[s_b[q[other]]].T
-                for at in range(0, len(some), 1024):
-                    hits = np.flatnonzero(x32[s_a[p[some[at : at + 1024]]]] @ right_side >= bound)
-                    i, j = some[at + hits // len(other)], other[hits % len(other)]
-                    asked = wanted(i, j)
-                    us.append(p[i[asked]])
-                    vs.append(q[j[asked]])
-        u, v = np.concatenate(us), np.concatenate(vs)
-        cosines = np.concatenate(
-            [np.einsum("ij,ij->i", x[s_a[u[i : i + 65536]]], y[s_b[v[i : i + 65536]]]) for i in range(0, len(u), 65536)] or [np.empty(0)]
-        )
-        apart = np.sqrt(np.maximum(0, 2 - 2 * cosines))
-        stays = apart <= tau + _SLACK + r_a[u] + r_b[v]
+                rows, cols = s_a[p[some]], s_b[q[other]]
+                steep = sketch_a is not None and bound >= _STEEP
+                if steep:
+                    i, j = _at_least(sketch_a[rows], sketch_b[cols], bound)
+                if not steep or len(i) * 64 > len(rows) * len(cols):
+                    i, j = _at_least(x32[rows], y32[cols], bound)
+                i, j = some[i], other[j]
+                asked = wanted(i, j)
+                us.append(p[i[asked]])
+                vs.append(q[j[asked]])
+                measured.append(np.full(len(us[-1]), bound >= _STEEP or reach <= 2 * tau))
+        u, v, told = np.concatenate(us), np.concatenate(vs), np.concatenate(measured)
+        apart, at = np.full(len(u), np.inf), np.flatnonzero(told)
+        for some in np.split(at, range(65536, len(at), 65536)):
+            cosines = np.einsum("ij,ij->i", x[s_a[u[some]]], y[s_b[v[some]]])
+            apart[some] = np.sqrt(np.maximum(0, 2 - 2 * cosines))
+        stays = ~told | (apart <= tau + _SLACK + r_a[u] + r_b[v])
         return u[stays], v[stays], apart[stays]
 
     def children(first: np.ndarray, number: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -296,106 +394,150 @@ def near_duplicates(
     block: int = BLOCK,
 ) -> DataFrame:
     """One row per input row: id, ``n_links`` (other rows at or above the cosine) and ``component_id``."""
+    bounded_batches(vectors.sparkSession)
+    with swept_shuffles(vectors.sparkSession):
+        keys, named = _named(vectors, id_col, vector_col, cosine, sample, centres, block)
+    if named is None:
+        return keys.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    return keys.join(named, ["h1", "h2"], "left").select(
+        F.col("id").alias(id_col),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("c")).alias("component_id"),
+    )
+
+
+def _named(
+    vectors: DataFrame, id_col: str, vector_col: str, cosine: float, sample: int, centres: int, block: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """(id, hashes) of all rows, and (hashes, ``n_links``, component) of all different usable vectors."""
     spark = vectors.sparkSession
-    bounded_batches(spark)
     v = F.col(vector_col).cast("array<double>")
+    # Single-precision vectors stay so on disk; every use widens them, which loses nothing.
+    given = vectors.select(vector_col).schema[0].dataType
+    narrow = isinstance(given, ArrayType) and isinstance(given.elementType, FloatType)
+    kept = F.col(vector_col) if narrow else v
     rows = store(
-        vectors.select(F.col(id_col).alias("id"), F.xxhash64(v).alias("h1"), F.xxhash64(F.lit(1), v).alias("h2"), v.alias("v")), "rows"
+        vectors.select(F.col(id_col).alias("id"), F.xxhash64(v).alias("h1"), F.xxhash64(F.lit(1), v).alias("h2"), kept.alias("v")), "rows"
     )
     usable = rows.where(F.size("v") > 0).where(
         ~F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) & F.exists("v", lambda c: c != 0)
     )
     distinct = usable.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.any_value("v").alias("v"))
     nodes = store(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    keys = rows.select("id", "h1", "h2")
-    told = [unit(r["v"]) for r in nodes.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect()]
+    keys = store(rows.select("id", "h1", "h2"), "keys")
+    discard(rows)
+    wide = F.col("v").cast("array<double>")
+    told = [unit(r["v"]) for r in nodes.select("v").orderBy(F.xxhash64(wide), wide).limit(sample).collect()]
     if not told:
-        return keys.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+        return keys, None
     sizes = [len(t) for t in told]
     dim = max(set(sizes), key=lambda d: (sizes.count(d), -d))
-    net = _centres(np.stack([t for t in told if len(t) == dim]), centres)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            units = [unit(x) for x in batch.column("v").to_pylist()]
-            cells, apart = np.full(len(units), -1), np.zeros(len(units))
-            at = [i for i, u in enumerate(units) if len(u) == dim]
-            if at:
-                cosines = np.stack([units[i] for i in at]) @ net.T
+    known = np.stack([t for t in told if len(t) == dim])
+    net, directions = _centres(known, centres), _directions(known)
+
+    def nearest(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each vector and its distance from the centre."""
+        cells, apart = np.full(len(column), -1), np.zeros(len(column))
+        for at, raw in by_length(column):
+            if raw.shape[1] == dim:
+                cosines = units(raw) @ net.T
                 cells[at] = cosines.argmax(axis=1)
                 apart[at] = np.sqrt(np.maximum(0, 2 - 2 * cosines.max(axis=1)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("n"), pa.array(cells), pa.array(apart), pa.array([u.tobytes() for u in units])],
-                ["node", "n", "cell", "apart", "x"],
-            )
-
-    dealt = store(nodes.select("node", "n", "v").mapInArrow(deal, "node long, n long, cell long, apart double, x binary"), "dealt")
-    cells = {r["cell"]: r for r in dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("apart").alias("r")).collect()}
-    groups, first, parts = _groups(cells, block)
-    pairs = _reachable(cells, groups, net, np.sqrt(2 - 2 * cosine))
-    of_cell = spark.createDataFrame([(c, first[g], parts[g]) for c, g in groups.items()], "cell long, first long, parts long")
-    placed = dealt.join(F.broadcast(of_cell), "cell").withColumn("block", F.col("first") + F.pmod(F.xxhash64("node"), F.col("parts")))
+        return cells, apart
 
-    def build(table: pa.Table) -> pa.Table:
-        raw = [np.frombuffer(x, np.float64) for x in table.column("x").to_pylist()]
-        ids, weights = table.column("node").to_numpy(), table.column("n").to_numpy()
-        by_length: dict[int, list[int]] = {}
-        for i, x in enumerate(raw):
-            by_length.setdefault(len(x), []).append(i)
-        packed = [pack_block(ids[at], weights[at], np.stack([raw[i] for i in at])) for at in by_length.values()]
-        return pa.table({"block": table.column("block").slice(0, 1), "lengths": pa.array([list(by_length)]), "trees": pa.array([packed])})
-
-    blocks = store(
-        placed.select("block", "node", "n", "x").groupBy("block").applyInArrow(build, "block long, lengths array<long>, trees array<binary>"),
-        "blocks",
-    )
-    wanted = spark.createDataFrame(
-        [(first[g], parts[g], first[h], parts[h]) for g, h in pairs], "a0 long, an long, b0 long, bn long"
+    def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, radius = np.zeros(len(net) + 1, np.int64), np.zeros(len(net) + 1)
+        for batch in batches:
+            cells, apart = nearest(batch.column("v"))
+            np.add.at(number, cells, 1)
+            np.maximum.at(radius, cells, apart)
+        cells = np.flatnonzero(number)
+        told = [pa.array(np.where(cells == len(net), -1, cells)), pa.array(number[cells]), pa.array(radius[cells])]
+        yield pa.RecordBatch.from_arrays(told, ["cell", "n", "r"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest(batch.column("v"))[0])], [*batch.schema.names, "cell"])
+
+    surveyed = nodes.select("v").mapInArrow(survey, "cell long, n long, r double")
+    cells = {r["cell"]: r for r in surveyed.groupBy("cell").agg(F.sum("n").alias("n"), F.max("r").alias("r")).collect()}
+    together = int(min(_TOGETHER, max(1, sum(c["n"] for c in cells.values()) // (block * _ROWS))))
+    groups, first, parts = _groups(cells, block * together)
+    reach = np.zeros((len(parts), len(parts)), bool)
+    for g, h in _reachable(cells, groups, net, np.sqrt(2 - 2 * cosine)):
+        reach[g, h] = reach[h, g] = True
+    of_cell = spark.createDataFrame(
+        [(c, g, first[g], parts[g]) for c, g in groups.items()], "cell long, held_group long, first long, parts long"
     )
-    both = (
-        wanted.withColumn("a", F.explode(F.expr("sequence(a0, a0 + an - 1)")))
-        .withColumn("b", F.explode(F.expr("sequence(b0, b0 + bn - 1)")))
-        .where("a <= b")
-        .select("a", "b")
-        .distinct()
+    form = f"node long, n long, v array<{'float' if narrow else 'double'}>, cell long"
+    placed = (
+        nodes.select("node", "n", "v")
+        .mapInArrow(deal, form)
+        .join(F.broadcast(of_cell), "cell")
+        .withColumn("held", F.col("first") + F.pmod(F.xxhash64("node"), F.col("parts")))
+        .select("held", "held_group", "cell", "node", "n", "v")
     )
-    side = lambda name: blocks.select(F.col("block").alias(name), F.col("lengths").alias(f"l{name}"), F.col("trees").alias(f"t{name}"))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks.count() * 2)
-    loaded = both.join(side("a"), "a").join(side("b"), "b").repartition(tasks, "a", "b")
+
+    def build(table: pa.Table) -> pa.Table:
+        cell, ids, weights = (table.column(c).to_numpy() for c in ("cell", "node", "n"))
+        blocks = []
+        for at, raw in by_length(table.column("v")):
+            order = np.argsort(cell[at], kind="stable")
+            for some in np.array_split(order, -(-len(order) // block)):
+                blocks.append(pack_block(ids[at[some]], weights[at[some]], raw[some]))
+        group = table.column("held_group")[0].as_py()
+        told = [[group], [np.flatnonzero(reach[group]).tolist()], [pickle.dumps(blocks, protocol=5)]]
+        return pa.table([table.column("held").slice(0, 1), *map(pa.array, told)], names=["held", "group", "reach", "blocks"])
+
+    blocks = store(placed.groupBy("held").applyInArrow(build, "held long, group long, reach array<long>, blocks binary"), "blocks")
+    names = store(nodes.select("h1", "h2", "node", "n", "rep"), "names")
+    discard(nodes)
+    # A product of stored tables without a shuffle: a task reads one partition of each. Of the two orders of a pair
+    # one is taken, by turns, so that every task has about as much to do.
+    side = lambda name: blocks.select(*(F.col(c).alias(f"{c}_{name}") for c in blocks.columns))
+    a, b = F.col("held_a"), F.col("held_b")
+    turn = (a == b) | (F.when(a < b, 0).otherwise(1) == (a + b) % 2)
+    met = side("a").join(side("b").hint("shuffle_replicate_nl"), turn & F.array_contains("reach_a", F.col("group_b")))
+    loaded = met.select("held_a", "blocks_a", "held_b", "blocks_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, found, n = (None, []), [], 0
+        opened = lambda data: [Block(one, directions) for one in pickle.loads(data.as_buffer())]
         for batch in batches:
             for row in range(batch.num_rows):
-                a, b, la, ta, lb, tb = (batch.column(c)[row].as_py() for c in ("a", "b", "la", "ta", "lb", "tb"))
-                right = dict(zip(lb, tb))
-                for length, tree in zip(la, ta):
-                    if length in right:
-                        ids, counts, roots = traverse(tree, None if a == b else right[length], cosine)
-                        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts), pa.array(roots)], ["node", "n", "root"])
+                i, j = batch.column("held_a")[row].as_py(), batch.column("held_b")[row].as_py()
+                if held[0] != i:
+                    held = i, opened(batch.column("blocks_a")[row])
+                others = held[1] if i == j else opened(batch.column("blocks_b")[row])
+                for p, left in enumerate(held[1]):
+                    for right in others[p:] if i == j else others:
+                        if left.x.shape[1] == right.x.shape[1]:
+                            found.append(traverse(left, None if left is right else right, cosine))
+                            n += len(found[-1][0])
+                if n > 1 << 20:
+                    found = [merged(found)]
+                    n = 0
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged(found)], ["node", "n", "root"])
 
     links = store(loaded.mapInArrow(run, "node long, n long, root long"), "links")
     counts = links.groupBy("node").agg(F.sum("n").alias("n_links"))
     roots = store(components(links.select("node", "root")), "roots")
     # Kept as a table: a join with an aggregate could not split the rows of a large component.
-    lowest = store(nodes.join(roots, "node").groupBy("root").agg(F.min("rep").alias("lowest")), "lowest")
+    lowest = store(names.join(roots, "node").groupBy("root").agg(F.min("rep").alias("lowest")), "lowest")
     named = store(
-        nodes.select("h1", "h2", "node", "n", "rep")
-        .join(counts, "node", "left")
+        names.join(counts, "node", "left")
         .join(roots, "node", "left")
         .join(lowest, "root", "left")
         .select("h1", "h2", (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("lowest", "rep").alias("c")),
         "named",
     )
-    discard(nodes, dealt, blocks, links, roots, lowest)
-    return keys.join(named, ["h1", "h2"], "left").select(
-        F.col("id").alias(id_col),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("c")).alias("component_id"),
-    )
+    discard(names, blocks, links, roots, lowest)
+    return keys, named
 
 
 def _groups(cells: dict, block: int) -> tuple[dict[int, int], list[int], list[int]]:
-    """Cells to groups of about a block, large cells alone in several blocks; first block and blocks per group.
+    """Cells to groups of about ``block`` vectors, large cells alone in several parts; first part and parts per group.
 
     Vectors of another length (cell -1) are a group of their own.
     """
